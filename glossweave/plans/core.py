@@ -1,0 +1,14 @@
+"""Queries of the terminology operators."""
+
+from __future__ import annotations
+
+from glossweave.session import table
+from pyspark.sql import functions as F
+
+
+def flagship(spark, d):
+    return table(spark, d, "sections").groupBy("area_code").agg(F.count(F.lit(1)).alias("n_sections"))
+
+
+QUERIES = {}
+ORACLE = {}
