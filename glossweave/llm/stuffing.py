@@ -63,6 +63,43 @@ def stuffed_words(text: str) -> frozenset[str]:
     return frozenset(w for w, n in Counter(words).items() if n >= least)
 
 
+class Tokens(dict):
+    """What a token adds to a shape, made once per token: its nine counts, and its word if that may be a stuffed one."""
+
+    #: Entries at which the table is emptied; only speed depends on it.
+    MOST = 300_000
+
+    def __missing__(self, t: str) -> tuple[tuple[int, ...], str | None]:
+        if len(self) > self.MOST:
+            self.clear()
+        got = self[t] = self.read(t)
+        return got
+
+    @staticmethod
+    def read(t: str) -> tuple[tuple[int, ...], str | None]:
+        if "." in t and ("://" in t or DOMAIN.search(t)) or t[0] == "[" and "]" not in t:
+            return (0, 0, 0, 0, 0, 0, 0, 1, 0, 0), None
+        if t[0] in "#@" and TAG.match(t):
+            return (0, 0, 0, 0, 0, 0, 0, 0, 1, 0), None
+        if all(c in SEPARATORS for c in t):
+            return (0, 0, 0, 0, 0, 1, 0, 0, 0, 0), None
+        if t[-1] == ":":
+            return (0, 0, 0, 0, 0, 0, 0, 0, 0, 1), None
+        separator = int(t[-1] in ",;|")
+        end = int(not separator and END.search(t) is not None)
+        figure = int(any(c.isdigit() for c in t))
+        word = WORD.search(t)
+        if word is None:
+            return (0, 0, 0, figure, 0, separator, end, 0, 0, 0), None
+        w, low = word[0], word[0].lower()
+        function = int(low in FUNCTION_WORDS)
+        upper = int(len(w) > 1 and w.isupper())
+        return (1, int(not upper and w[0].isupper()), upper, figure, function, separator, end, 0, 0, 0), None if function else low
+
+
+TOKENS = Tokens()
+
+
 def shape(line: str, stuffed: frozenset[str] = frozenset()) -> tuple | None:
     """The shape of a line; None if it is blank.
 
@@ -71,40 +108,9 @@ def shape(line: str, stuffed: frozenset[str] = frozenset()) -> tuple | None:
     tokens = line.split()
     if not tokens:
         return None
-    words = capitals = upper = figures = function = often = separators = ends = links = tags = labels = 0
-    for t in tokens:
-        if "." in t and ("://" in t or DOMAIN.search(t)) or t[0] == "[" and "]" not in t:
-            links += 1
-            continue
-        if t[0] in "#@" and TAG.match(t):
-            tags += 1
-            continue
-        if all(c in SEPARATORS for c in t):
-            separators += 1
-            continue
-        if t[-1] == ":":
-            labels += 1
-            continue
-        if t[-1] in ",;|":
-            separators += 1
-        elif END.search(t):
-            ends += 1
-        if any(c.isdigit() for c in t):
-            figures += 1
-        word = WORD.search(t)
-        if word is None:
-            continue
-        w = word[0]
-        low = w.lower()
-        words += 1
-        if low in FUNCTION_WORDS:
-            function += 1
-        elif low in stuffed:
-            often += 1
-        if len(w) > 1 and w.isupper():
-            upper += 1
-        elif w[0].isupper():
-            capitals += 1
+    read = [TOKENS[t] for t in tokens]
+    words, capitals, upper, figures, function, separators, ends, links, tags, labels = map(sum, zip(*[r[0] for r in read]))
+    often = sum(r[1] in stuffed for r in read) if stuffed else 0
     return words, capitals, upper, figures, function, often, separators, ends, links, tags, labels
 
 
