@@ -223,6 +223,12 @@ class ReferenceList:
 ENTRY = ["ref_id", "publisher", "doc_number", "edition_year", "title_en", "title_fr", "canonical"]
 
 
+@lru_cache(maxsize=4)
+def _list_of(entries: tuple[tuple, ...]) -> tuple[ReferenceList, dict]:
+    """A worker's list and its answers so far, kept from task to task."""
+    return ReferenceList(list(entries)), {}
+
+
 def _blocks(publications: DataFrame) -> list[list[tuple]]:
     """The list on the driver, in blocks of a bounded number of entries with all editions of a work together."""
     slim = publications.select(*ENTRY)
@@ -246,9 +252,9 @@ def resolve_citations(export: DataFrame, publications: DataFrame) -> DataFrame:
     out = "export_id long, pos int, value_text string, ref_id long, certainty double"
     schema = pa.schema([("export_id", pa.int64()), ("pos", pa.int32()), ("value_text", pa.string()), ("ref_id", pa.int64()), ("certainty", pa.float64())])
 
-    def against(entries: list[tuple]):
+    def against(entries: tuple[tuple, ...]):
         def run(batches):
-            parser, refs, memo = FieldParser(), ReferenceList(entries), {}
+            parser, (refs, memo) = FieldParser(), _list_of(entries)
             for b in batches:
                 ids, pos, text, ref, sure = [], [], [], [], []
                 for i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -267,7 +273,7 @@ def resolve_citations(export: DataFrame, publications: DataFrame) -> DataFrame:
 
         return slim.mapInArrow(run, out)
 
-    parts = [against(block) for block in _blocks(publications)]
+    parts = [against(tuple(block)) for block in _blocks(publications)]
     if len(parts) == 1:
         return parts[0]
     every = parts[0]
