@@ -30,7 +30,7 @@ def strip(c: Column) -> Column:
 
 def plain_spaces(c: Column) -> Column:
     """Byte-order marks dropped, non-breaking hyphens and the wide spaces made plain ones."""
-    return F.translate(c, "‑          ﻿", "-" + " " * 8)
+    return F.translate(c, "\u2011\u00a0\u2000\u2001\u2002\u2003\u2004\u2005\u2006\ufeff", "-" + " " * 8)
 
 
 def sanitize(c: Column, compose: bool = True) -> Column:

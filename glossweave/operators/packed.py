@@ -46,7 +46,7 @@ CITATION_START = rf"{LEADS}(?:[\"“«„]|{CODE}|{PUBLISHERS}|{REMARKS})"
 class Grammar:
     """What separates values, and what encloses text that is not divided."""
 
-    strong: str = r"\r\n|[\r\n ]|<br\s*/?>|;|；|\||•|、|&amp;|&(?!\w+;)|(?<=\s)/(?=\s)"
+    strong: str = r"\r\n|[\r\n\u2028\u2029]|<br\s*/?>|;|；|\||•|、|&amp;|&(?!\w+;)|(?<=\s)/(?=\s)"
     weak: str = r",\s*(?:and|et|und)\s+|,\s*|\s(?:and|et|und)\s+"
     start: str = CITATION_START
     quotes: tuple[tuple[str, str], ...] = (('"', '"'), ("“", "”"), ("«", "»"), ("„", "“"))
@@ -56,7 +56,7 @@ class Grammar:
 
 #: Characters that read as ASCII while the grammar looks for separators and starts; positions stay the same.
 _FOLD = {0xFF01 + i: 0x21 + i for i in range(94)} | {0xA0: " ", 0x3000: " ", 0x2007: " ", 0x202F: " ", 0x2009: " ", 0xFF1B: "；"}
-_BLANK = " \t\n\r\f\v\u0085                 　﻿​"
+_BLANK = " \t\n\r\f\v\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 @dataclass(frozen=True)

@@ -54,8 +54,8 @@ def _met(old: DataFrame, new: DataFrame) -> DataFrame:
     return rows.groupBy("code").agg(
         F.max(F.col("o").isNotNull()).alias("in_old"),
         F.max(F.col("n").isNotNull()).alias("in_new"),
-        F.min_by("o.status", F.struct("o._ord", "language")).alias("old_status"),
-        F.min_by("n.status", F.struct("n._ord", "language")).alias("new_status"),
+        F.min_by("o.status", F.when(F.col("o").isNotNull(), F.struct("o._ord", "language"))).alias("old_status"),
+        F.min_by("n.status", F.when(F.col("n").isNotNull(), F.struct("n._ord", "language"))).alias("new_status"),
         F.array_sort(F.collect_list(entry)).alias("entries"),
     )
 
