@@ -9,7 +9,7 @@ that matches wins; a failed alternative leaves no trace (the parser backtracks):
     strong  <-  line break / <br> / ';' / '|' / bullet / '&' / spaced '/' ...
     weak    <-  (',' / 'and' ...) &start         splits only where a new value begins
     end     <-  blank* (strong / weak / EOF)
-    quoted  <-  a mark, text, its closing mark   ('""' inside a '"' pair is one '"')
+    quoted  <-  a mark, text, its closing mark, not a word   ('""' inside a '"' pair is one '"')
     bracket <-  '(' ... ')' / '[' ... ']'        may nest
 
 A quote or bracket that never closes is an ordinary character: the ``quoted`` alternative
@@ -105,7 +105,7 @@ class FieldParser:
             if close == s[i] and s.startswith(close, j + 1):
                 j += 2  # a doubled mark stands for itself
                 continue
-            return j + 1
+            return None if s[j + 1 : j + 2].isalnum() else j + 1  # a mark before a word opens, it doesn't close
         return None
 
     def bracket(self, s: str, i: int) -> int | None:
