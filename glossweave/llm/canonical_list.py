@@ -47,6 +47,8 @@ KINDS = {
     "ts": ["ts", "technicalspecification", "spécificationtechnique"],
     "rec": ["", "rec", "recommendation", "recommandation", "recomm"],
 }
+#: Short names of the vocabulary itself.
+VOCABULARY_NAMES = ("iev", "vei", "мэв")
 LEAD = re.compile(r"^(?:(?:see also|see|voir aussi|voir|from|d['’]apr[èe]s|cf\.?|siehe|[≈≠~])\s*)+")
 CODE = re.compile(r"^(?:(?:iev|vei|мэв|i\.\s?e\.\s?v\.)\s*[:.]?\s*)?\d{3}-\d{2}-\d{2,}(?!\d)")
 YEAR = re.compile(r"^\s*(?:[:,(\-]\s*)?(?:(?:ed\.?|edition|éd\.?)\s*)?((?:19|20)\d{2})(?![\d.]|-\d)")
@@ -61,7 +63,7 @@ def canon(text: str) -> str:
     s = unicodedata.normalize("NFKC", text).casefold().translate(DASHES)
     s = " ".join(s.split()).strip(QUOTES)
     s = re.sub(r"(?<=\d)[oо](?=[\dolо]|\b)", "0", s)
-    s = re.sub(r"(?<=\d)[li](?=[\dolо]|\b)|(?<=\.)[li](?=\d{2})", "1", s)
+    s = re.sub(r"(?<=\d)[li](?=[\dolо]|\b)|(?<=\.)[li](?=\d{2})|(?<=\d-)[li](?!\w)", "1", s)
     s = re.sub(r"(?<=\d)[oо](?=\d|\b)", "0", s)
     return LEAD.sub("", s)
 
@@ -125,6 +127,8 @@ class ReferenceList:
                     patterns[name + letters(number.casefold())].append(("number", work, letters(number.casefold()), number.casefold()))
             elif (canonical or "").upper() == "IEV":
                 self.vocabulary_id = ref
+                for name in VOCABULARY_NAMES:
+                    patterns[name].append(("title", work, None, None))
             for title in (en, fr):
                 if title:
                     spelled = canon(title)
@@ -155,26 +159,35 @@ class ReferenceList:
         """The answer of the automaton for a citation, or None if nothing in it is a mention."""
         places = [i for i, c in enumerate(s) if c.isalnum()]
         flat = "".join(s[i] for i in places)
-        for last, (length, meanings) in self.auto.iter_long(flat) if flat else ():
-            first, behind = places[last - length + 1], places[last] + 1
+        best = None  # of the mentions that pass the exact check the leftmost, of those the longest
+        for last, (length, meanings) in self.auto.iter(flat) if flat and len(self.auto) else ():
+            key = (last - length + 1, -length)
+            if best is not None and key >= best[0]:
+                continue
+            first, behind = places[key[0]], places[last] + 1
             if first and s[first - 1].isalnum():
                 continue
             for kind, work, digits, number in meanings:
-                rest = s[behind:]
-                if kind == "number":
-                    typed = s[places[last - len(digits) + 1] : behind]
-                    if typed.replace(" ", "") != number and typed.replace(" ", "").replace(".", "") != number.replace(".", ""):
-                        continue
-                    if re.match(r"\d", rest) or (re.match(r"\s*-\s*\d", rest) and not YEAR.match(rest)):
-                        continue
-                    m = YEAR.match(rest)
-                elif re.match(r"\w", rest):
-                    continue
-                else:
-                    m = YEAR_AFTER_TITLE.match(rest)
-                found = self.edition(work, int(m[1]) if m else None)
-                return 2.0 + length, found
-        return None
+                year = self.checked(kind, digits, number, s, places, last, behind)
+                if year is not None:
+                    best = key, self.edition(work, year or None)
+                    break
+        return (2.0 - best[0][1], best[1]) if best else None
+
+    @staticmethod
+    def checked(kind: str, digits: str, number: str, s: str, places: list[int], last: int, behind: int) -> int | None:
+        """The year behind a match (0 without one), or None if the match is no mention of its work."""
+        rest = s[behind : behind + 40]
+        if kind != "number":
+            m = YEAR_AFTER_TITLE.match(rest)
+            return None if re.match(r"\w", rest) else int(m[1]) if m else 0
+        typed = s[places[last - len(digits) + 1] : behind].replace(" ", "")
+        m = YEAR.match(rest)
+        if typed != number and typed.replace(".", "") != number.replace(".", ""):
+            return None
+        if re.match(r"\d", rest) or not m and re.match(r"\s*-\s*\d", rest):
+            return None
+        return int(m[1]) if m else 0
 
     def similar(self, s: str) -> tuple[float, int]:
         """The answer of token-set similarity over titles; (0, 0) if none is near enough."""

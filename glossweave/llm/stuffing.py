@@ -31,14 +31,14 @@ DOMINANCE = 0.5
 FUNCTION_WORDS = frozenset(
     """
     a about above after again all also an and any are as at be been before being between but by can could did do does down during each few
-    for from further had has have he her here him his how i if in into is it its me more most my no nor not of off on once only or other our
+    for from further had has have he her here him his how i if in into is it its me more more my no nor not of off on once only or other our
     out over own same she should so some such than that the their them then there these they this those through to too under until up very
     was we were what when where which while who whom why will with would you your since without
     aber als am an auch auf aus bei bin bis da damit dann das dass dem den der des die dies diese dieser doch dort du durch ein eine einem einen
     einer eines er es für hat hatte ich ihr im in ist ja kein keine können man mehr mit nach nicht noch nun nur ob oder ohne sich sie sind so
     über um und uns unter vom von vor war waren was weil wenn wer wie wieder wird worden wurde wurden zu zum zur zwischen seit etwa
     au aux avec c ce ces cette d dans de des du elle en entre est et eu il ils j je l la le les leur lui ma mais me même mes n ne nous on ont ou
-    où par pas pour qu que qui s sa sans se ses si son sont sous sur ta te tu un une vous été été depuis près a ans aucun aucune fut
+    où par pour qu que qui s sa sans se ses si son sont sous sur ta te tu un une vous été été depuis près a ans aucun aucune fut
     al algo como con contra cual cuando de del desde donde durante el ella ellos en entre era es esa ese eso esta este esto ha han hay la las le
     lo los más me mi muy no nos o os para pero por porque que quien se ser si sin sobre son su sus también tan tiene un una uno unos unas y ya fue cerca
     """.split()
@@ -121,7 +121,7 @@ def kind(s: tuple) -> str:
         return LINKS
     if tags or labels and not function:
         return TAGS
-    if words and often * 2 >= words and function * 4 <= words and not figures:
+    if words and often * 2 >= words and not function and not figures:
         return BARE
     if figures and figures * 3 >= words:
         return RECORD
