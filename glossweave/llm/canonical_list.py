@@ -90,19 +90,30 @@ def names_of(publisher: str) -> list[str]:
 
 @lru_cache(maxsize=200_000)
 def likeness(a: str, b: str) -> float:
-    """1 - edit distance (with swaps of neighbours) / longer length."""
+    """1 - edit distance (with swaps of neighbours) / longer length; 0 below the least similarity of words."""
     n, m = len(a), len(b)
-    if abs(n - m) > max(n, m) * (1 - WORD_SIMILARITY):
+    most = int(max(n, m) * (1 - WORD_SIMILARITY))  # edits beyond this can't count
+    if abs(n - m) > most:
         return 0.0
     before, last = list(range(m + 1)), []
-    for i in range(1, n + 1):
-        row = [i] + [0] * m
-        for j in range(1, m + 1):
-            row[j] = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (a[i - 1] != b[j - 1]))
-            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                row[j] = min(row[j], last[j - 2] + 1)
+    for i, x in enumerate(a, 1):
+        row, left, least = [i], i, i
+        for j, y in enumerate(b, 1):
+            d = before[j - 1]
+            if x != y:
+                up = before[j]
+                d = (d if d < up else up) if d < left or up < left else left
+                d += 1
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and last[j - 2] + 1 < d:
+                    d = last[j - 2] + 1
+            row.append(d)
+            left = d
+            if d < least:
+                least = d
+        if least > most:
+            return 0.0
         last, before = before, row
-    return 1 - before[m] / max(n, m)
+    return 1 - before[m] / max(n, m) if before[m] <= most else 0.0
 
 
 class ReferenceList:
@@ -211,17 +222,18 @@ class ReferenceList:
             for title, r in best.items():
                 scores[title] += r
         n = len(dict.fromkeys(cited))
-        ranked = sorted(((2 * x / (n + len(t)), sorted(t), t) for t, x in scores.items()), key=lambda x: (-x[0], x[1]))
-        if not ranked or ranked[0][0] < TITLE_SIMILARITY:
+        rated = {t: 2 * x / (n + len(t)) for t, x in scores.items()}
+        top = max(rated.values(), default=0.0)
+        if top < TITLE_SIMILARITY:
             return 0.0, 0
-        title = ranked[0][2]
+        title = min((t for t, r in rated.items() if r == top), key=sorted)
         foreign = any(w in self.posting and w not in title for w in cited)
         for v in title:  # a word of the title may be misspelled beyond likeness if it is short, but not be another title's word
             if max(likeness(w, v) for w in cited) < WORD_SIMILARITY and (len(v) > 3 or foreign):
                 return 0.0, 0
         m = YEAR_AFTER_TITLE.match(s[len(head) :])
         answers = {self.edition(work, int(m[1]) if m else None) for work in self.titles[title]}
-        return ranked[0][0], max(answers)
+        return top, max(answers)
 
     def answer(self, value: str | None) -> tuple[float, int]:
         """(certainty, ref_id) of one citation; ref_id 0 means that it has no entry."""
