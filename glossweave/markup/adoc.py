@@ -146,3 +146,8 @@ def mentions(column):
     """``ARRAY<STRUCT<code, shown>>`` of a converted text, natively."""
     codes, shown = F.regexp_extract_all(column, F.lit(MENTION), F.lit(1)), F.regexp_extract_all(column, F.lit(MENTION), F.lit(2))
     return F.arrays_zip(codes.alias("code"), shown.alias("shown"))
+
+
+def see_relations(column):
+    """``ARRAY<STRUCT<type, source, id>>``: a ``see`` relation to each concept that a converted text mentions, each once."""
+    return F.transform(F.array_distinct(mentions(column)["code"]), lambda c: F.struct(F.lit("see").alias("type"), F.lit("IEV").alias("source"), c.alias("id")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Largest driver-side list this library ever builds from a table it was told is small.
 MAX_DRIVER_ROWS = 10_000
@@ -37,12 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where that is unset (tests, a laptop) a temporary folder is made and set.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if conf:
-        return conf
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
-        return current.get()
+        return named or current.get()
+    if named:
+        spark.sparkContext.setCheckpointDir(named)
+        return named
     path = tempfile.mkdtemp(prefix="glossweave-checkpoint-")
     spark.sparkContext.setCheckpointDir("file://" + os.path.abspath(path))
     return path
@@ -54,6 +56,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its rows, counted on the way of whatever action reads it; no pass of its own."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def plan_text(df: DataFrame, mode: str = "formatted") -> str:
+    """The plan as ``explain(mode)`` prints it."""
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
 def small_rows(df: DataFrame, most: int = MAX_DRIVER_ROWS) -> list | None:
     """The rows of a table that should be small, or None once it proves larger than ``most``."""
     rows = df.limit(most + 1).collect()
