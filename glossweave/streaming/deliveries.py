@@ -15,10 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from glossweave.session import shared_dir
 
 
-def follow(spark: SparkSession, folder: str, schema, each: Callable[[DataFrame, int], None], name: str, files_per_batch: int = 1, once: bool = False) -> StreamingQuery:
-    """Calls ``each(rows, batch number)`` for every delivery that lands in ``folder``; ``once`` stops when it is drained."""
+def follow(spark: SparkSession, folder: str, schema, each: Callable[[DataFrame, int], None], name: str, files_per_batch: int = 1, once: bool = False, progress: str | None = None) -> StreamingQuery:
+    """Calls ``each(rows, batch number)`` for every delivery that lands in ``folder``; ``once`` stops when it is drained.
+
+    How far it came is kept in ``progress``, by default a folder of the stream's name in the shared one.
+    """
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", f"{shared_dir(spark)}/{name}")
+    writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", progress or f"{shared_dir(spark)}/{name}")
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 

@@ -163,7 +163,7 @@ def test_stream_of_deliveries(spark, data, tmp_path):
     rows.where("snapshot_no = 1").coalesce(1).write.mode("append").parquet(folder)
     rows.where("snapshot_no = 2").coalesce(1).write.mode("append").parquet(folder)
     seen = []
-    q = follow(spark, folder, rows.schema, lambda df, n: seen.append(df.count()), "deliveries", once=True)
+    q = follow(spark, folder, rows.schema, lambda df, n: seen.append(df.count()), "deliveries", once=True, progress=str(tmp_path / "progress"))
     q.awaitTermination(120)
     assert len(seen) == 2 and sum(seen) == rows.where("snapshot_no in (1, 2)").count()
     stream = spark.readStream.schema(rows.schema).parquet(folder)
