@@ -59,7 +59,7 @@ FIRST_FORMS = [
 
 #: Pattern, what the reference becomes ({n} is a group), whether a final colon is cut.
 REFERENCES = [
-    (r"SI Brochure|Brochure sur le SI", "BBIPM SI Brochure TEMP DISABLED DUE TO RELATON", False),
+    (r"SI Brochure|Brochure sur le SI", "BBIPM SI Brochure", False),
     (r"VIM", "JCGM VIM", False),
     (rf"IEC 60050-([0-9]+), ({CODE})", "IEC 60050-{1}", False),
     (rf"IEC 60050-([0-9]+):([0-9]+), ({CODE})", "IEC 60050-{1}:{2}", False),

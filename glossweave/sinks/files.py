@@ -126,7 +126,7 @@ def write_list(rows: DataFrame, path: str, wrap: dict | None = None, key: str |
 
 def write_register(register: DataFrame, path: str, **about) -> None:
     """The dataset's description and its tree of areas and sections."""
-    write_list(register.select(F.col("area_code").alias("code"), F.col("area_title").alias("title"), "children"), path, wrap={"schema_type": "glossarist", "schema_version": "3", **about}, key="sections")
+    write_list(register.select(F.col("area_code").alias("code"), F.col("area_title").alias("title"), "children"), path, wrap={"schema_type": "terminology", "schema_version": "3", **about}, key="sections")
 
 
 #: Columns of the change report.
