@@ -68,7 +68,12 @@ class Item:
 
 
 class FieldParser:
-    """The grammar's recogniser; each rule takes a place and gives the place behind its match, or None."""
+    """The grammar's recogniser; each rule takes a place and gives the place behind its match, or None.
+
+    What was found out about a field (brackets that close, marks that never do) is kept while
+    it is read, so that a field of any length and nesting is read in one go.  One parser reads
+    one field at a time.
+    """
 
     def __init__(self, grammar: Grammar = Grammar()):
         self.strong_re = re.compile(grammar.strong, re.IGNORECASE)
@@ -77,6 +82,9 @@ class FieldParser:
         self.quotes = dict(grammar.quotes)
         self.brackets = dict(grammar.brackets)
         opening = "".join(map(re.escape, [*self.quotes, *self.brackets]))
+        self.bracket_re = re.compile("[" + "".join(re.escape(x) for pair in grammar.brackets for x in pair) + "]")
+        self._never: set[str] = set()
+        self._closed: dict[int, int] = {}
         self.plain_re = re.compile(rf"[^\s,;；|•、&<>/{opening}]+")
 
     def strong(self, s: str, i: int) -> int | None:
@@ -98,7 +106,7 @@ class FieldParser:
 
     def quoted(self, s: str, i: int) -> int | None:
         close = self.quotes.get(s[i])
-        if close is None:
+        if close is None or close in self._never:
             return None
         j = i + 1
         while (j := s.find(close, j)) >= 0:
@@ -106,24 +114,24 @@ class FieldParser:
                 j += 2  # a doubled mark stands for itself
                 continue
             return None if s[j + 1 : j + 2].isalnum() else j + 1  # a mark before a word opens, it doesn't close
+        if close != s[i]:
+            self._never.add(close)  # no mark of this kind closes further on either
         return None
 
     def bracket(self, s: str, i: int) -> int | None:
-        close = self.brackets.get(s[i])
-        if close is None:
-            return None
-        j = i + 1
-        while j < len(s):
-            if s[j] == close:
-                return j + 1
-            if s[j] == s[i]:
-                inner = self.bracket(s, j)
-                if inner is None:
-                    return None
-                j = inner
-            else:
-                j += 1
-        return None
+        return self._closed.get(i)
+
+    def _match_brackets(self, s: str) -> dict[int, int]:
+        """Place of each bracket that closes -> place behind its closing one; one scan however deep they nest."""
+        ends, opened = {}, {c: [] for c in self.brackets}
+        closing = {c: o for o, c in self.brackets.items()}
+        for m in self.bracket_re.finditer(s):
+            c = m[0]
+            if c in opened:
+                opened[c].append(m.start())
+            elif opened[closing[c]]:
+                ends[opened[closing[c]].pop()] = m.end()
+        return ends
 
     def item(self, s: str, i: int) -> tuple[int, bool, str | None]:
         """End of the item at ``i``, whether quotes enclose it whole, and its error flag."""
@@ -157,6 +165,7 @@ class FieldParser:
         if text is None:
             return
         s = text.translate(_FOLD)
+        self._never, self._closed = set(), self._match_brackets(s)
         i, pos = 0, 0
         while i < len(s):
             k = self.strong(s, i)

@@ -67,3 +67,9 @@ def test_rows(spark):
     got = citations(df)
     assert got.where("export_id = 1").count() == 4 and got.where("export_id in (2, 3)").count() == 0 and got.where("export_id = 4").count() == 20_000
     assert split_packed(df.limit(0), "source", ["export_id"]).count() == 0
+
+
+def test_long_and_deep_fields():
+    assert values("(" * 100_000) == ["(" * 100_000] and values("(" * 50_000 + ")" * 50_000 + ";x")[-1] == "x"
+    assert len(values("“" * 100_000)) == 1 and len(values('"' * 100_001)) <= 2
+    assert len(values("a; " * 100_000)) == 100_000 and values(" " * 200_000) == [] and len(values("," * 50_000 + "IEC 1")) == 1
