@@ -154,6 +154,7 @@ class ReferenceList:
             for w in words:
                 self.posting[w].append(words)
         self.near: dict[str, list] = {}
+        self.longest = max(map(len, self.posting), default=0)
 
     @staticmethod
     def words(s: str) -> list[str]:
@@ -208,6 +209,8 @@ class ReferenceList:
             return 0.0, 0
         scores: dict[frozenset, float] = defaultdict(float)
         for w in dict.fromkeys(cited):
+            if len(w) * WORD_SIMILARITY > self.longest:
+                continue  # too long to be like any word of a title
             near = self.near.get(w)
             if near is None:
                 near = [(v, r) for v in self.posting if (r := likeness(w, v)) >= WORD_SIMILARITY]
@@ -229,7 +232,7 @@ class ReferenceList:
         title = min((t for t, r in rated.items() if r == top), key=sorted)
         foreign = any(w in self.posting and w not in title for w in cited)
         for v in title:  # a word of the title may be misspelled beyond likeness if it is short, but not be another title's word
-            if max(likeness(w, v) for w in cited) < WORD_SIMILARITY and (len(v) > 3 or foreign):
+            if max(likeness(w, v) for w in cited if len(w) * WORD_SIMILARITY <= self.longest) < WORD_SIMILARITY and (len(v) > 3 or foreign):
                 return 0.0, 0
         m = YEAR_AFTER_TITLE.match(s[len(head) :])
         answers = {self.edition(work, int(m[1]) if m else None) for work in self.titles[title]}
@@ -286,9 +289,11 @@ def resolve_citations(export: DataFrame, publications: DataFrame) -> DataFrame:
                     for it in parser.parse(s):
                         got = memo.get(it.value)
                         if got is None:
-                            if len(memo) > 50_000:
-                                memo.clear()
-                            got = memo[it.value] = refs.answer(it.value)
+                            got = refs.answer(it.value)
+                            if len(it.value) <= 300:  # what is kept stays small
+                                if len(memo) > 50_000:
+                                    memo.clear()
+                                memo[it.value] = got
                         ids.append(i)
                         pos.append(it.pos)
                         text.append(it.value)

@@ -66,13 +66,15 @@ def stuffed_words(text: str) -> frozenset[str]:
 class Tokens(dict):
     """What a token adds to a shape, made once per token: its nine counts, and its word if that may be a stuffed one."""
 
-    #: Entries at which the table is emptied; only speed depends on it.
-    MOST = 300_000
+    #: Entries at which the table is emptied, and longest token it keeps; only speed depends on them.
+    MOST, LONGEST = 300_000, 64
 
     def __missing__(self, t: str) -> tuple[tuple[int, ...], str | None]:
-        if len(self) > self.MOST:
-            self.clear()
-        got = self[t] = self.read(t)
+        got = self.read(t)
+        if len(t) <= self.LONGEST:
+            if len(self) > self.MOST:
+                self.clear()
+            self[t] = got
         return got
 
     @staticmethod

@@ -23,8 +23,10 @@ from array import array
 from functools import lru_cache
 
 #: Sizes at which the grown parts are dropped and grown anew; only speed depends on them.
-MAX_STATES = 500_000
-MAX_PIECES = 500_000
+MAX_STATES = 150_000
+MAX_PIECES = 200_000
+#: Longer pieces always go through the machine, so that what is kept stays small.
+MAX_KEPT = 64
 
 
 class Transducer:
@@ -198,9 +200,11 @@ class Encoder(dict):
         self.ascii, self.any = splitter(pattern)
 
     def __missing__(self, piece: str) -> array:
-        if len(self) > MAX_PIECES:
-            self.clear()
-        ids = self[piece] = array("i", self.machine.encode(piece.encode("utf-8", "surrogatepass")))
+        ids = array("i", self.machine.encode(piece.encode("utf-8", "surrogatepass")))
+        if len(piece) <= MAX_KEPT:
+            if len(self) > MAX_PIECES:
+                self.clear()
+            self[piece] = ids
         return ids
 
     def into(self, text: str | None, out: array) -> None:
