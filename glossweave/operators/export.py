@@ -48,7 +48,8 @@ def citation_rows(sheet: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _designation(text: Column, attrs: Column, status: Column) -> Column:
+def expression_designation(text: Column, attrs: Column, status: Column) -> Column:
+    """A designation in words, with what its attribute cell says."""
     return F.struct(
         F.lit("expression").alias("type"),
         text.alias("designation"),
@@ -61,7 +62,8 @@ def _designation(text: Column, attrs: Column, status: Column) -> Column:
     )
 
 
-def _symbol(text: Column) -> Column:
+def symbol_designation(text: Column) -> Column:
+    """An international symbol."""
     none = F.lit(None).cast("string")
     no_grammar = F.lit(None).cast("array<struct<gender:array<string>,number:array<string>,part_of_speech:string>>")
     return F.struct(
@@ -99,11 +101,11 @@ def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame) -> Da
     )
 
     def synonym(i: int) -> Column:
-        return F.transform(F.col(f"_syn{i}"), lambda t: _designation(t, F.col(f"_attrs{i}"), F.lower(F.col(f"SYNONYM{i}STATUS"))))
+        return F.transform(F.col(f"_syn{i}"), lambda t: expression_designation(t, F.col(f"_attrs{i}"), F.lower(F.col(f"SYNONYM{i}STATUS"))))
 
     synonyms = [synonym(i) for i in (1, 2, 3)]
-    symbol = F.when(F.col("SYMBOLE").isNotNull(), F.array(_symbol(F.col("_symbol")))).otherwise(F.slice(F.array(_symbol(F.col("_symbol"))), 1, 0))
-    terms = F.concat(F.array(_designation(F.col("_term"), F.col("_attrs"), F.lit("preferred"))), *synonyms, symbol)
+    symbol = F.when(F.col("SYMBOLE").isNotNull(), F.array(symbol_designation(F.col("_symbol")))).otherwise(F.slice(F.array(symbol_designation(F.col("_symbol"))), 1, 0))
+    terms = F.concat(F.array(expression_designation(F.col("_term"), F.col("_attrs"), F.lit("preferred"))), *synonyms, symbol)
     dated = lambda kind: F.struct(F.lit(kind).alias("type"), F.col("_date").alias("date"))
     known = F.length("language") == 3
     error = F.when(~known, F.lit("unknown language")).when(F.col("STATUS").isNull(), "no status").when(F.col("PUBLICATIONDATE").isNotNull() & F.col("_date").isNull(), "impossible date")

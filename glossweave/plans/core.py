@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from glossweave.functions import citation_rules as cite
 from glossweave.functions import codes, labels, text
+from glossweave.functions.register import register
 from glossweave.markup import adoc, pages
 from glossweave.operators import bibliography as bib
 from glossweave.operators import export as ex
@@ -341,6 +342,18 @@ def term_attrs(spark, d):
     return table(spark, d, "iev_export").select("export_id", attributes(F.col("termattribute")).alias("a")).select("export_id", "a.gender", "a.number", "a.part_of_speech", "a.usage_info")
 
 
+@query("""SELECT export_id, 'expression' AS type, CASE WHEN term = '.....' THEN 'NA' ELSE term END AS designation, 'preferred' AS normative_status, CASE WHEN coalesce(g, n, p) IS NOT NULL THEN concat_ws('/', coalesce(g, '-'), coalesce(n, '-'), coalesce(p, '-')) END AS grammar, symbole AS symbol, symbole IS NOT NULL AS international FROM (
+  SELECT *, CASE WHEN regexp_matches(termattribute, '\\b[mfn]\\b') THEN regexp_extract(termattribute, '\\b([mfn])\\b', 1) END AS g, CASE WHEN regexp_matches(termattribute, '\\bpl\\b') THEN 'plural' WHEN regexp_matches(termattribute, '\\b[mfn]\\b') THEN 'singular' END AS n, CASE WHEN regexp_matches(termattribute, '\\badj\\b') THEN 'adj' END AS p FROM iev_export)""")
+def designation_build(spark, d):
+    rows = table(spark, d, "iev_export").withColumn("_a", attributes(F.col("termattribute")))
+    t = F.when(F.col("term") == ".....", F.lit("NA")).otherwise(F.col("term"))
+    built = rows.select("export_id", ex.expression_designation(t, F.col("_a"), F.lit("preferred")).alias("e"), ex.symbol_designation(F.col("symbole")).alias("s"))
+    one = F.col("e.grammar_info")[0]
+    part = lambda c: F.coalesce(c, F.lit("-"))
+    grammar = F.when(F.col("e.grammar_info").isNotNull(), F.concat_ws("/", part(one["gender"][0]), part(one["number"][0]), part(one["part_of_speech"])))
+    return built.select("export_id", "e.type", "e.designation", "e.normative_status", grammar.alias("grammar"), F.col("s.designation").alias("symbol"), (F.col("s.international") & F.col("s.designation").isNotNull()).alias("international"))
+
+
 @query()
 def term_markers(spark, d):
     """Terms with the markers that their stored attributes stand for, taken apart again."""
@@ -534,6 +547,27 @@ def page_rows(spark, d):
     return each.select("code", "e.language", F.array_join("e.terms", "|").alias("terms"), "e.definition")
 
 
+def _listing(spark, d):
+    """One page that links every area and lists every section, as the hierarchy is published."""
+    cell = F.concat(F.lit("<tr><td>Section "), "section_code", F.lit(": "), F.col("section_title"), F.lit("</td><td><a href='x?part="), "area_code", F.lit("'>"), F.col("area_title"), F.lit("</a></td></tr>"))
+    rows = table(spark, d, "sections").where("section_title is not null and area_title is not null")
+    register(spark)
+    listing = rows.agg(F.array_join(F.array_sort(F.collect_list(cell)), "").alias("html"))
+    listing.createOrReplaceTempView("gw_listing")
+
+
+@query("SELECT area_code AS code, arg_min(area_title, section_code) AS title FROM sections WHERE section_title IS NOT NULL AND area_title IS NOT NULL GROUP BY 1")
+def link_extract(spark, d):
+    _listing(spark, d)
+    return spark.sql("SELECT code, title FROM gw_listing, LATERAL gw_area_links(html)")
+
+
+@query("SELECT section_code AS code, section_title AS title FROM sections WHERE section_title IS NOT NULL AND area_title IS NOT NULL")
+def section_extract(spark, d):
+    _listing(spark, d)
+    return spark.sql("SELECT code, title FROM gw_listing, LATERAL gw_section_cells(html)")
+
+
 # ---- reconciliation ---------------------------------------------------------------------
 
 def sides(spark, d):

@@ -259,6 +259,15 @@ def test_merge(spark):
     assert rec.reconcile(side(spark, []), side(spark, []), DAY).count() == 0
 
 
+def test_a_side_has_no_changes_against_itself(spark, data):
+    old, new = core.sides(spark, data)
+    for s in (old, new):
+        same = rec.reconcile(s, s.repartition(5), DAY)
+        assert rec.stats(same).first().changed == 0 and same.count() == s.select("code").distinct().count()
+    both = rec.reconcile(old, new, DAY)
+    assert both.count() == old.select("code").union(new.select("code")).distinct().count()
+
+
 def test_preferred_term(spark):
     t = spark.createDataFrame([(1, 1, "a", "admitted"), (1, 2, "b", "preferred"), (2, 1, "c", None), (2, 2, "d", "admitted")], "l10n_id long, term_no int, designation string, normative_status string")
     assert {r.l10n_id: r.designation for r in lookup.designations(t, ["l10n_id"]).collect()} == {1: "b", 2: "c"}
