@@ -37,6 +37,15 @@ def test_kinds_and_gaps(spark):
     }
 
 
+def test_more_deliveries_than_fit_the_driver(spark, monkeypatch):
+    from glossweave.operators import snapshots
+
+    rows = [row(n, "a", d=str(n // 2)) for n in range(6)] + [row(3, "b")]
+    want = found(spark, rows)
+    monkeypatch.setattr(snapshots, "small_rows", lambda df: None)
+    assert found(spark, rows) == want and len(want) == 4
+
+
 def test_not_a_change(spark):
     pairs = [
         ("A <b>bold</b> text", "a bold  text "), ('say "x"', "say “x”"), ("« x »", '"x"'), ("so­ft​", "soft"), ("it's", "it’s"), (None, ""), ("a\tb\nc", "a b c"),
