@@ -720,7 +720,12 @@ def export_localized(spark, d):
     return out.localized.select("_ord", "code", "language", "entry_status", "classification", "domain", shown.alias("terms"), "definition", "review_date")
 
 
-@query()
+_NAMED = f"""SELECT p.*, CASE WHEN length(lang) = 3 THEN lang ELSE coalesce({_LANGS}, lang) END AS language FROM (SELECT *, CASE WHEN length(lang) > 2 THEN split_part(lang, ' ', 1) ELSE lang END AS k FROM ({PRIMARY}) WHERE status IS NOT NULL) p"""
+
+
+@query(f"""WITH n AS (SELECT * FROM ({_NAMED}) QUALIFY row_number() OVER (PARTITION BY code, language ORDER BY _ord) = 1)
+SELECT code, arg_min(CASE lower(status) WHEN 'standard' THEN 'valid' END, _ord) FILTER (lower(status) = 'standard') AS status, string_agg(language, ',' ORDER BY _ord) AS languages, 2 AS n_domains,
+ CAST(1 + count(DISTINCT CASE WHEN regexp_matches(trim(replaces), '{_SUPERSEDED}') THEN regexp_extract(trim(replaces), '{_SUPERSEDED}', 2) END) AS INTEGER) AS n_related FROM n GROUP BY 1""")
 def export_concepts(spark, d):
     out = ex.export(sheet(spark, d), table(spark, d, "sections"), labels.language_dimension(spark))
     return out.concepts.select("code", "status", F.array_join("languages", ",").alias("languages"), F.size("domains").alias("n_domains"), F.size("related").alias("n_related"))
