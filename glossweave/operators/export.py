@@ -17,7 +17,7 @@ from glossweave.functions import citation_rules as cite
 from glossweave.functions.codes import area_code, complete_date, domain_references, section_code, section_uri
 from glossweave.functions.labels import classification, designation_status, sheet_status, three_letter
 from glossweave.functions.text import decode_entities, sanitize, split_synonyms, without_leading_number
-from glossweave.markup.adoc import content_of, contents_of, mentions
+from glossweave.markup.adoc import content_of, contents_of, formulas_of, markup_of, mentions
 from glossweave.operators.hierarchy import domain_title, hierarchy_concepts, section_tree, with_titles
 from glossweave.operators.sheet import COLUMNS, filtered, first_wins
 from glossweave.parsers.attributes import attributes, grammar
@@ -48,6 +48,20 @@ def citation_rows(sheet: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def cell_sources(rows: DataFrame) -> DataFrame:
+    """``_area, _cell, sources``: the citations of each distinct cell in order, as authoritative sources.
+
+    A cell that many rows repeat is parsed once.  A cell without citations has no row.
+    """
+    cells = rows.where("_cell is not null").select("_area", "_cell").distinct()
+    each = citation_rows(cells.withColumn("SOURCE", F.col("_cell")), ["_area", "_cell"]).withColumn("original", formulas_of(markup_of(F.col("original"), F.col("_area"))))
+    locality = F.when(F.col("clause").isNotNull(), F.struct(F.lit("clause").alias("type"), F.col("clause").alias("reference_from")))
+    origin = F.struct(F.struct("source", "id").alias("ref"), locality.alias("locality"), "original")
+    source = F.struct(F.lit("authoritative").alias("type"), "status", origin.alias("origin"), "modification")
+    listed = F.array_sort(F.collect_list(F.struct("pos", source.alias("source"))))
+    return each.groupBy("_area", "_cell").agg(F.transform(listed, lambda x: x["source"]).alias("sources"))
+
+
 def expression_designation(text: Column, attrs: Column, status: Column) -> Column:
     """A designation in words, with what its attribute cell says."""
     return F.struct(
@@ -79,7 +93,8 @@ def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame) -> Da
     impossible date) and is null otherwise; such rows are kept for the caller to quarantine.
     """
     rows = three_letter(clean(sheet), "LANGUAGE", languages, "language")
-    rows = domain_title(with_titles(rows, "IEVREF", sections)).withColumn("_area", F.substring("IEVREF", 1, 3))
+    rows = domain_title(with_titles(rows, "IEVREF", sections)).withColumn("_area", F.coalesce(F.substring("IEVREF", 1, 3), F.lit(""))).withColumn("_cell", F.col("SOURCE"))
+    rows = rows.join(cell_sources(rows), ["_area", "_cell"], "left")
     rows = rows.withColumns(
         {
             "_parts": definition_parts(F.col("DEFINITION")),
@@ -125,6 +140,7 @@ def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame) -> Da
         F.col("_date").alias("review_decision_date"),
         F.lit("published").alias("review_decision_event"),
         F.col("SOURCE").alias("source_cell"),
+        "sources",
         superseded(F.col("REPLACES")).alias("related"),
         error.alias("error"),
     )
@@ -213,4 +229,4 @@ def export(
     )
 
 
-__all__ = ["Exported", "area_code", "citation_rows", "clean", "concepts", "export", "localized", "references", "section_children"]
+__all__ = ["Exported", "area_code", "cell_sources", "citation_rows", "clean", "concepts", "export", "localized", "references", "section_children"]

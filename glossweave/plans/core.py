@@ -717,7 +717,7 @@ def top_errors(spark, d):
 def export_localized(spark, d):
     out = ex.export(sheet(spark, d), table(spark, d, "sections"), labels.language_dimension(spark))
     shown = F.array_join(F.transform("terms", lambda t: F.concat_ws("/", t["type"], t["designation"], t["normative_status"])), "|")
-    return out.localized.select("_ord", "code", "language", "entry_status", "classification", "domain", shown.alias("terms"), "definition", "review_date")
+    return out.localized.select("_ord", "code", "language", "entry_status", "classification", "domain", shown.alias("terms"), "definition", "review_date", "sources")
 
 
 _NAMED = f"""SELECT p.*, CASE WHEN length(lang) = 3 THEN lang ELSE coalesce({_LANGS}, lang) END AS language FROM (SELECT *, CASE WHEN length(lang) > 2 THEN split_part(lang, ' ', 1) ELSE lang END AS k FROM ({PRIMARY}) WHERE status IS NOT NULL) p"""

@@ -1,0 +1,35 @@
+"""Whole jobs: what an export, a query or a source must not leave out."""
+
+from glossweave.functions import labels
+from glossweave.operators import export as ex
+from glossweave.operators.sheet import COLUMNS, as_sheet
+from glossweave.sinks import files
+
+
+def exported(spark, *rows, **options):
+    cells = [(i, *[{"STATUS": "Standard", **r}.get(c) for c in COLUMNS]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(cells, "n int, " + ", ".join(f"{c} string" for c in COLUMNS))
+    sections = spark.createDataFrame([("103", "Functions", "103-01", "General")], "area_code string, area_title string, section_code string, section_title string")
+    return ex.export(as_sheet(df, "n"), sections, labels.language_dimension(spark), **options)
+
+
+def test_sources_are_exported(spark, tmp_path):
+    cell = "IEC 62302:2007, 3.2, modified – new <i>f</i>; IAEA 4"
+    made = exported(
+        spark,
+        {"IEVREF": "103-01-01", "LANGUAGE": "en", "TERM": "a", "SOURCE": cell},
+        {"IEVREF": "103-01-01", "LANGUAGE": "fr", "TERM": "b", "SOURCE": cell},
+        {"IEVREF": "103-01-02", "LANGUAGE": "en", "TERM": "c", "SOURCE": " "},
+        {"IEVREF": "103-01-03", "LANGUAGE": "en", "TERM": "d"},
+    )
+    got = {(r.code, r.language): r.sources for r in made.localized.collect()}
+    assert len(got) == 4 and got["103-01-02", "eng"] is None and got["103-01-03", "eng"] is None
+    assert got["103-01-01", "eng"] == got["103-01-01", "fra"]
+    one, two = got["103-01-01", "eng"]
+    assert (one.type, one.status, one.modification) == ("authoritative", "modified", "new <i>f</i>")
+    assert (one.origin.ref[:], one.origin.locality[:], one.origin.original) == (("IEC", "62302:2007"), ("clause", "3.2"), "IEC 62302:2007, 3.2, modified – new stem:[f]")
+    assert (two.type, two.status, two.origin.ref[:]) == ("authoritative", "identical", ("IAEA", "4"))
+    files.write_concepts(made.concepts, str(tmp_path))
+    text = (tmp_path / "concepts" / "concept-103-01-01.yaml").read_text()
+    assert text.count("authoritative") == 4 and text.count("reference_from") >= 2
+    assert "authoritative" not in (tmp_path / "concepts" / "concept-103-01-02.yaml").read_text()
