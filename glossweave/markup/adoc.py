@@ -148,6 +148,15 @@ def mentions(column):
     return F.arrays_zip(codes.alias("code"), shown.alias("shown"))
 
 
+def with_names(column, names):
+    """A converted text whose mentions of a bare code show the code's name in the map ``names``, where it has one, natively."""
+    bare = lambda m: m["shown"].rlike(r"^\s*IEV\s*[0-9]{2,3}-[0-9]{2,3}-[0-9]{2,3}\s*$")
+    shown = lambda m: F.when(bare(m), F.coalesce(F.try_element_at(names, m["code"]), m["shown"])).otherwise(m["shown"])
+    written = F.transform(mentions(column), lambda m: F.concat(F.lit("{{" + URN + "-"), m["code"], F.lit(", "), shown(m), F.lit("}}")))
+    woven = F.array_join(F.zip_with(F.split(column, MENTION, -1), written, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(names.isNotNull() & column.contains("{{urn:"), woven).otherwise(column)
+
+
 def see_relations(column):
     """``ARRAY<STRUCT<type, source, id>>``: a ``see`` relation to each concept that a converted text mentions, each once."""
     return F.transform(F.array_distinct(mentions(column)["code"]), lambda c: F.struct(F.lit("see").alias("type"), F.lit("IEV").alias("source"), c.alias("id")))

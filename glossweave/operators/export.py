@@ -17,7 +17,8 @@ from glossweave.functions import citation_rules as cite
 from glossweave.functions.codes import area_code, complete_date, domain_references, section_code, section_uri
 from glossweave.functions.labels import classification, designation_status, sheet_status, three_letter
 from glossweave.functions.text import decode_entities, sanitize, split_synonyms, without_leading_number
-from glossweave.markup.adoc import content_of, contents_of, formulas_of, markup_of, mentions
+from glossweave.markup.adoc import content_of, contents_of, formulas_of, markup_of, mentions, with_names
+from glossweave.operators.figures import figure_entities, figure_hits, figure_references, first_of, row_figures, with_mentions
 from glossweave.operators.hierarchy import domain_title, hierarchy_concepts, section_tree, with_titles
 from glossweave.operators.sheet import COLUMNS, filtered, first_wins
 from glossweave.parsers.attributes import attributes, grammar
@@ -28,11 +29,11 @@ from glossweave.parsers.supersession import superseded
 MISSING = "....."
 
 
-def clean(sheet: DataFrame) -> DataFrame:
-    """Every cell sanitized; the missing-term mark as NA."""
+def clean(sheet: DataFrame, *kept: str) -> DataFrame:
+    """Every cell sanitized; the missing-term mark as NA; columns ``kept`` as they are."""
     cells = {c: sanitize(F.col(c)) for c in COLUMNS}
     cells["TERM"] = F.when(cells["TERM"] == MISSING, F.lit("NA")).otherwise(cells["TERM"])
-    return sheet.select("_ord", *[v.alias(c) for c, v in cells.items()])
+    return sheet.select("_ord", *kept, *[v.alias(c) for c, v in cells.items()])
 
 
 def citation_rows(sheet: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,13 +87,31 @@ def symbol_designation(text: Column) -> Column:
     )
 
 
-def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame) -> DataFrame:
-    """One localized concept per sheet row.
+#: The cells whose markup can link a concept.
+LINKING = ["TERM", "SYNONYM1", "SYNONYM2", "SYNONYM3", "SYMBOLE", "DEFINITION", "SOURCE"]
+
+
+def link_names(sheet: DataFrame, every: DataFrame, languages: DataFrame) -> DataFrame:
+    """``IEVREF, LANGUAGE, _names``: of rows that link concepts, the English terms of those in ``every`` by code."""
+    text = F.concat_ws(" ", *LINKING)
+    codes = F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit("[0-9]{2,3}-[0-9]{2,3}-[0-9]{2,3}"), F.lit(0))))
+    links = sheet.where(F.lower(text).contains("href")).select("IEVREF", "LANGUAGE", codes.alias("_code")).distinct()
+    terms = three_letter(clean(every), "LANGUAGE", languages, "_language").where("_language = 'eng' and TERM is not null")
+    english = first_wins(terms.select("_ord", F.col("IEVREF").alias("_code"), "TERM"), ["_code"])
+    found = links.join(english, "_code").withColumn("_name", content_of(F.col("TERM"), F.substring("_code", 1, 3)))
+    return found.groupBy("IEVREF", "LANGUAGE").agg(F.map_from_entries(F.collect_list(F.struct("_code", "_name"))).alias("_names"))
+
+
+def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """One localized concept per sheet row; links without a name of their own get theirs from ``names`` (of ``link_names``).
 
     ``error`` names what a strict export would stop at (unknown language, missing status, an
     impossible date) and is null otherwise; such rows are kept for the caller to quarantine.
     """
-    rows = three_letter(clean(sheet), "LANGUAGE", languages, "language")
+    none = F.lit(None).cast("map<string,string>")
+    # on the sheet's own cells: it is already spread by them
+    known_names = sheet.withColumn("_names", none) if names is None else sheet.join(names, ["IEVREF", "LANGUAGE"], "left")
+    rows = three_letter(clean(known_names, "_names"), "LANGUAGE", languages, "language")
     rows = domain_title(with_titles(rows, "IEVREF", sections)).withColumn("_area", F.coalesce(F.substring("IEVREF", 1, 3), F.lit(""))).withColumn("_cell", F.col("SOURCE"))
     rows = rows.join(cell_sources(rows), ["_area", "_cell"], "left")
     rows = rows.withColumns(
@@ -115,6 +134,16 @@ def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame) -> Da
         }
     )
 
+    named = lambda text: with_names(text, F.col("_names"))
+    sources = F.transform("sources", lambda x: x.withField("origin", x["origin"].withField("original", named(x["origin"]["original"]))))
+    rows = rows.withColumns(
+        {
+            **{c: named(F.col(c)) for c in ("_term", "_symbol", "_definition")},
+            **{c: F.transform(c, named) for c in ("_syn1", "_syn2", "_syn3", "_examples", "_notes")},
+            "sources": F.when(F.col("_names").isNull(), F.col("sources")).otherwise(sources),
+        }
+    )
+
     def synonym(i: int) -> Column:
         return F.transform(F.col(f"_syn{i}"), lambda t: expression_designation(t, F.col(f"_attrs{i}"), F.lower(F.col(f"SYNONYM{i}STATUS"))))
 
@@ -151,10 +180,12 @@ def concepts(rows: DataFrame) -> DataFrame:
 
     The first row of a (code, language) wins; the first non-empty entry status is the
     concept's; relations of all rows are the concept's, unique by (type, id) in order of
-    appearance, with the broader section behind them.
+    appearance, with the broader section behind them.  References and figures of all rows,
+    where the rows have them, are the concept's too, each once with its first words.
     """
     unique = first_wins(rows.withColumn("_first", F.col("_ord")), ["code", "language"], "_ord") if "_first" not in rows.columns else rows
-    entry = F.struct("_ord", "language", F.struct(*[c for c in unique.columns if c not in ("_ord", "_first", "code", "language", "related")]).alias("value"))
+    linked = [c for c in ("references", "figures") if c in unique.columns]
+    entry = F.struct("_ord", "language", *linked, F.struct(*[c for c in unique.columns if c not in ("_ord", "_first", "code", "language", "related", *linked)]).alias("value"))
     status = F.min_by("entry_status", F.when(F.length("entry_status") > 0, F.col("_ord")))
     relation = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_ord", F.coalesce("related", F.expr("array()").cast("array<struct<type:string,source:string,id:string>>")).alias("r")))), lambda x: x["r"]))
     nested = unique.groupBy("code").agg(F.array_sort(F.collect_list(entry)).alias("_entries"), status.alias("status"), relation.alias("_related"), F.min("_ord").alias("_ord"))
@@ -165,6 +196,7 @@ def concepts(rows: DataFrame) -> DataFrame:
         "status",
         domain_references(F.col("code")).alias("domains"),
         F.concat(F.array_distinct("_related"), F.coalesce(broader, F.slice("_related", 1, 0))).alias("related"),
+        *[first_of(F.flatten(F.transform("_entries", lambda e: e[c])), k).alias(c) for c, k in (("references", "code"), ("figures", "entity_id")) if c in linked],
         F.transform("_entries", lambda e: e["language"]).alias("languages"),
         F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["language"], e["value"]))).alias("localized"),
     )
@@ -186,6 +218,16 @@ def references(rows: DataFrame, text: str) -> DataFrame:
     return hits.groupBy("code", "language", "ref_code").agg(F.min_by("shown", "_pos").alias("shown"))
 
 
+def with_references(rows: DataFrame) -> DataFrame:
+    """Localized concepts with ``references`` and ``figures`` of their texts, and mentions in place of figures in these."""
+    texts = [F.when(F.col("definition").isNotNull(), F.array("definition")), F.col("examples"), F.col("notes")]
+    every = F.concat(*[F.coalesce(t, F.array().cast("array<string>")) for t in texts])
+    shown = lambda t: F.when(t.contains("image::"), with_mentions(t)).otherwise(t)
+    # two steps: in one, Spark takes the new definition for the old one inside the functions of arrays
+    found = rows.withColumns({"references": first_of(F.flatten(F.transform(every, mentions)), "code"), "figures": row_figures(*texts)})
+    return found.withColumns({"definition": shown(F.col("definition")), "examples": F.transform("examples", shown), "notes": F.transform("notes", shown)})
+
+
 @dataclass
 class Exported:
     """What an export makes; nothing is computed before it is written or read."""
@@ -206,12 +248,12 @@ def export(
 ) -> Exported:
     """The whole pipeline from sheet rows; filters act on rows, the hierarchy is always whole."""
     from glossweave.operators.bibliography import bibliography
-    from glossweave.operators.figures import figure_entities, figure_hits, figure_references
 
     chosen = first_wins(filtered(sheet, only_concepts, only_languages), ["IEVREF", "LANGUAGE"])
-    every = localized(chosen, sections, languages)
-    good = every.where("error is null")
-    hits = figure_hits(good)
+    every = localized(chosen, sections, languages, link_names(chosen, sheet, languages))
+    drawn = every.where("error is null")
+    hits = figure_hits(drawn)
+    good = with_references(drawn)
     nested = concepts(good.drop("error"))
     tree = hierarchy_concepts(sections)
     figures = figure_entities(hits)

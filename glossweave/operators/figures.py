@@ -81,6 +81,17 @@ def figure_references(hits: DataFrame) -> DataFrame:
     return hits.groupBy("code", "figure_id").agg(F.min_by("identifier", F.struct("_ord", "_n")).alias("display"))
 
 
+def row_figures(*fields: Column) -> Column:
+    """``ARRAY<STRUCT<entity_id, display>>`` of a row's texts (arrays): each figure once, the first macro's identifier shown."""
+    found = F.flatten(F.transform(F.concat(*[F.coalesce(f, F.array().cast("array<string>")) for f in fields]), hits_of))
+    return first_of(F.transform(found, lambda h: F.struct(figure_id(h["file"]).alias("entity_id"), caption_parts(h["bracket"])["identifier"].alias("display"))), "entity_id")
+
+
+def first_of(items: Column, key: str) -> Column:
+    """An array's structs without those whose ``key`` an earlier one has."""
+    return F.filter(items, lambda x, i: F.array_position(F.transform(items, lambda y: y[key]), x[key]) == i + 1)
+
+
 def with_mentions(text: Column) -> Column:
     """A text with mentions in place of its macros, natively: the text between macros and the mentions are woven together."""
     between = F.split(text, MACRO, -1)

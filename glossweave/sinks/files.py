@@ -93,7 +93,7 @@ def write_concepts(concepts: DataFrame, folder: str) -> None:
     @F.udf(StringType(), useArrow=False)
     def grouped(row):
         one = row.asDict(recursive=True)
-        managed = {"id": one["code"], "schema_version": "3", "status": one["status"], "data": {"identifier": one["code"], "domains": one["domains"]}, "related": one["related"]}
+        managed = {"id": one["code"], "schema_version": "3", "status": one["status"], "data": {"identifier": one["code"], "domains": one["domains"], "figures": one.get("figures"), "references": one.get("references")}, "related": one["related"]}
         documents = [managed] + [{"id": f"{one['code']}-{lang}", "language_code": lang, "data": one["localized"][lang]} for lang in one["languages"]]
         return "---\n".join(["", *[dump(compact(x)) for x in documents]])
 

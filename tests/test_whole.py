@@ -33,3 +33,27 @@ def test_sources_are_exported(spark, tmp_path):
     text = (tmp_path / "concepts" / "concept-103-01-01.yaml").read_text()
     assert text.count("authoritative") == 4 and text.count("reference_from") >= 2
     assert "authoritative" not in (tmp_path / "concepts" / "concept-103-01-02.yaml").read_text()
+
+
+def test_figures_and_references_are_exported(spark, tmp_path):
+    macro = "image::/assets/images/parts/103/a.gif[Figure 1 – W]"
+    link = "<a href=IEV 103-01-02>IEV 103-01-02</a>"
+    made = exported(
+        spark,
+        {"IEVREF": "103-01-01", "LANGUAGE": "en", "TERM": "a", "DEFINITION": f"See {macro} and {link}<p>Note 1 to entry: <a href=IEV 103-01-09>named</a> {macro}"},
+        {"IEVREF": "103-01-01", "LANGUAGE": "fr", "TERM": "b", "DEFINITION": f"Voir {link} et <a href=IEV 103-01-08>IEV 103-01-08</a>"},
+        {"IEVREF": "103-01-02", "LANGUAGE": "en", "TERM": "<b>set</b>"},
+        only_languages="en,fr",
+    )
+    c = made.concepts.where("code = '103-01-01'").first()
+    urn = "{{urn:iec:std:iec:60050-103-01-0"
+    assert c.localized["eng"].definition == "See {{fig:fig-a, Figure 1 - W}} and " + urn + "2, *set*}}"
+    assert c.localized["eng"].notes == [urn + "9, named}} {{fig:fig-a, Figure 1 - W}}"]
+    assert c.localized["fra"].definition == "Voir " + urn + "2, *set*}} et " + urn + "8, IEV 103-01-08}}"
+    assert [r[:] for r in c.references] == [("103-01-02", "*set*"), ("103-01-09", "named"), ("103-01-08", "IEV 103-01-08")]
+    assert [r[:] for r in c.figures] == [("fig-a", "Figure 1")] == [(r.figure_id, r.display) for r in made.figure_references.collect()]
+    assert {r.definition for r in made.localized.collect()} == {c.localized["eng"].definition, c.localized["fra"].definition, None}
+    assert made.figures.first().caption == {"eng": "W"}
+    files.write_concepts(made.concepts, str(tmp_path))
+    text = (tmp_path / "concepts" / "concept-103-01-01.yaml").read_text()
+    assert "image::" not in text and "entity_id" in text and "references" in text
