@@ -528,15 +528,17 @@ def content_convert(spark, d):
 
 
 def _pages(spark, d):
-    """A page per code with a row for its English and French terms and the English definition."""
-    rows = primary_rows(sheet(spark, d)).where("LANGUAGE in ('eng', 'fra') and TERM is not null and DEFINITION is not null")
-    two = F.when(F.col("LANGUAGE") == "eng", "en").otherwise("fr")
+    """A page per code with a row for each term of a language that pages know, followed by one for its definition if it has any."""
+    three = {v: k for k, v in labels.PAGE_LANGUAGES.items()}
+    two = F.coalesce(labels.lookup(three, F.col("LANGUAGE")), F.col("LANGUAGE"))
+    rows = primary_rows(sheet(spark, d)).withColumn("_two", two).where(F.col("_two").isin(*labels.PAGE_LANGUAGES)).where("TERM is not null")
+    two = F.col("_two")
     td = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     mark = td(F.concat(F.lit("<div align='center'><font color='#800080'>"), two, F.lit("</font></div>")))
     term = F.concat(F.lit("<tr>"), mark, F.lit("<td></td>"), td(F.concat(F.lit("<b>"), esc(F.col("TERM")), F.lit("</b>, f"))), F.lit("</tr>"))
     text_row = F.concat(F.lit("<tr><td></td><td></td>"), td(esc(F.col("DEFINITION"))), F.lit("</tr>"))
-    line = F.struct(F.col("LANGUAGE").alias("l"), F.concat(term, text_row).alias("h"))
+    line = F.struct(F.col("LANGUAGE").alias("l"), F.concat(term, F.coalesce(text_row, F.lit(""))).alias("h"))
     body = rows.groupBy(F.col("IEVREF").alias("code")).agg(F.array_join(F.array_sort(F.collect_list(line))["h"], "").alias("_b"))
     return body.select("code", F.concat(F.lit("<html><table><tr><td><b>"), "code", F.lit("</b></td></tr>"), "_b", F.lit("</table>")).alias("html"))
 

@@ -3,6 +3,7 @@
 from glossweave.functions import labels
 from glossweave.operators import export as ex
 from glossweave.operators.sheet import COLUMNS, as_sheet
+from glossweave.plans import core
 from glossweave.sinks import files
 
 
@@ -57,3 +58,14 @@ def test_figures_and_references_are_exported(spark, tmp_path):
     files.write_concepts(made.concepts, str(tmp_path))
     text = (tmp_path / "concepts" / "concept-103-01-01.yaml").read_text()
     assert "image::" not in text and "entity_id" in text and "references" in text
+
+
+def test_pages_have_every_language(spark, tmp_path):
+    cells = [("103-01-01", lang, f"term {lang}", f"a < b {lang}") for lang in (*labels.PAGE_LANGUAGES.values(), "xx", "lat")]
+    cells += [("103-01-02", lang, f"term {lang}", "text") for lang in labels.PAGE_LANGUAGES] + [("103-01-03", "deu", "kurz", None)]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cells)], "export_id long, ievref string, language_code string, term string, definition string")
+    df.write.parquet(str(tmp_path / "iev_export.parquet"))
+    got = {(r.code, r.language): (r.terms, r.definition) for r in core.page_rows(spark, str(tmp_path)).collect()}
+    every = set(labels.PAGE_LANGUAGES.values())
+    assert set(got) == {(c, lang) for c in ("103-01-01", "103-01-02") for lang in every} | {("103-01-03", "deu")} and got["103-01-03", "deu"] == ("kurz", None)
+    assert all(got["103-01-01", lang][0] == f"term {lang}" for lang in every) and got["103-01-02", "jpn"] == ("term ja", "text")
