@@ -12,7 +12,9 @@ The visitor runs inside one ``mapInArrow``: no shuffle, no second read for a sec
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +47,85 @@ PAYLOAD = {
 }
 
 
+_WS = re.compile(r"[ \t\n\r]*")
+
+
+def deep_loads(text: str):
+    """``json.loads`` for texts nested beyond Python's recursion limit: open containers are on a stack of its own."""
+    scalar = json.JSONDecoder().raw_decode
+    skip = lambda i: _WS.match(text, i).end()
+
+    def key_at(i: int) -> tuple[str, int]:
+        if text[i : i + 1] != '"':
+            raise ValueError(f"no key at {i}")
+        key, i = scanstring(text, i + 1, True)
+        i = skip(i)
+        if text[i : i + 1] != ":":
+            raise ValueError(f"no colon at {i}")
+        return key, skip(i + 1)
+
+    boxes: list[tuple] = []
+    i = skip(0)
+    while True:
+        c = text[i : i + 1]
+        if c and c in "{[":
+            value, i = {} if c == "{" else [], skip(i + 1)
+            if text[i : i + 1] != ("}" if c == "{" else "]"):
+                key, i = key_at(i) if c == "{" else (None, i)
+                boxes.append((value, key))
+                continue
+            i += 1
+        else:
+            value, i = scalar(text, i)
+        while True:  # a value is complete: into its container, which may be complete with it
+            i = skip(i)
+            if not boxes:
+                if i != len(text):
+                    raise ValueError(f"more text at {i}")
+                return value
+            box, key = boxes.pop()
+            if isinstance(box, list):
+                box.append(value)
+            else:
+                box[key] = value
+            c, value, i = text[i : i + 1], box, i + 1
+            if c == ",":
+                i = skip(i)
+                boxes.append((box, None))
+                if isinstance(box, dict):
+                    key, i = key_at(i)
+                    boxes[-1] = box, key
+                break
+            if c != ("]" if isinstance(box, list) else "}"):
+                raise ValueError(f"no end at {i - 1}")
+
+
+class _Written(str):
+    """Text that stands as it is."""
+
+
+def dumps(x) -> str:
+    """A value as JSON, however deep."""
+    try:
+        return json.dumps(x, ensure_ascii=False)
+    except RecursionError:
+        pass
+    out, todo = [], [x]
+    while todo:
+        o = todo.pop()
+        if isinstance(o, _Written):
+            out.append(o)
+        elif isinstance(o, (dict, list)):
+            parts: list = [_Written("{" if isinstance(o, dict) else "[")]
+            for n, k in enumerate(o):
+                comma = ", " if n else ""
+                parts += [_Written(f"{comma}{json.dumps(k, ensure_ascii=False)}: "), o[k]] if isinstance(o, dict) else [_Written(comma), k]
+            todo += reversed([*parts, _Written("}" if isinstance(o, dict) else "]")])
+        else:
+            out.append(json.dumps(o, ensure_ascii=False))
+    return "".join(out)
+
+
 def parse_body(body: str | None) -> dict | None:
     """The record of a stored body, or None if it is null, empty, cut off or no object.
 
@@ -54,9 +135,10 @@ def parse_body(body: str | None) -> dict | None:
     if body is None or not body.strip():
         return None
     try:
-        got = json.loads(body)
-    except RecursionError:
-        return None
+        try:
+            got = json.loads(body)
+        except RecursionError:
+            got = deep_loads(body)
     except ValueError:
         if body.lstrip()[:1] in "{[":  # flow style: what JSON rejects is cut off or broken
             return None
@@ -75,7 +157,7 @@ def _objects(x) -> list[dict]:
 
 
 def _text(x) -> str:
-    return "" if x is None else x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+    return "" if x is None else x if isinstance(x, str) else dumps(x)
 
 
 def visit(record_id: int, body: str | None, tags: frozenset[str] = frozenset(PAYLOAD), payload: bool = True) -> Iterator[tuple]:
@@ -85,7 +167,7 @@ def visit(record_id: int, body: str | None, tags: frozenset[str] = frozenset(PAY
     """
     for row in _visit(record_id, body):
         if row[0] in tags:
-            yield *row[:-1], json.dumps(row[-1], ensure_ascii=False) if payload else ""
+            yield *row[:-1], dumps(row[-1]) if payload else ""
 
 
 def _visit(record_id: int, body: str | None) -> Iterator[tuple]:
@@ -166,7 +248,7 @@ def read_flat(spark: SparkSession, path: str, tag: str) -> DataFrame:
 def flat(tagged: DataFrame, tag: str) -> DataFrame:
     """The flat table of one tag of tagged rows."""
     rows = tagged.where(F.col("tag") == tag)
-    return rows.select("pk", "parent_pk", "record_id", "lang", "pos", "item", F.from_json("payload", PAYLOAD[tag]).alias("_o")).select(
+    return rows.select("pk", "parent_pk", "record_id", "lang", "pos", "item", F.from_json("payload", PAYLOAD[tag], {"maxNestingDepth": str(2**31 - 1)}).alias("_o")).select(
         "pk", "parent_pk", "record_id", F.col("lang").alias("record_lang"), "pos", "item", "_o.*"
     )
 

@@ -1,7 +1,10 @@
 """Whole jobs: what an export, a query or a source must not leave out."""
 
+import json
+
 from glossweave.functions import labels
 from glossweave.operators import export as ex
+from glossweave.operators import nested
 from glossweave.operators.sheet import COLUMNS, as_sheet
 from glossweave.plans import core
 from glossweave.sinks import files
@@ -69,3 +72,21 @@ def test_pages_have_every_language(spark, tmp_path):
     every = set(labels.PAGE_LANGUAGES.values())
     assert set(got) == {(c, lang) for c in ("103-01-01", "103-01-02") for lang in every} | {("103-01-03", "deu")} and got["103-01-03", "deu"] == ("kurz", None)
     assert all(got["103-01-01", lang][0] == f"term {lang}" for lang in every) and got["103-01-02", "jpn"] == ("term ja", "text")
+
+
+def test_deep_bodies_are_whole():
+    n = 200_000
+    deep = "[" * n + "1" + "]" * n
+    body = '{"id": "x", "domains": [{"concept_id": "d", "ref_type": "domain"}], "more": %s, "localized_concepts": [{"language_code": "eng", "terms": [{"designation": "t", "extra": %s}]}]}' % (deep, deep)
+    rows = list(nested.visit(1, body))
+    assert [(r[0], r[6]) for r in rows] == [("record", "x"), ("domain", "d"), ("localized", "eng"), ("term", "t")]
+    assert deep in rows[0][7] and rows[3][7] == '{"designation": "t", "extra": %s}' % deep
+    assert list(nested.visit(1, body[:-1])) == [] and list(nested.visit(1, body + "x")) == [] and list(nested.visit(1, body.replace("1]", "1,]", 1))) == []
+    for text in ('{"a": [1, -2.5e3, "x\\u00e9", null, true], "b": {}, "c": [], "d": {"e": [[], {}]}}', "[ ]", " 7 "):
+        assert nested.deep_loads(text) == json.loads(text)
+
+
+def test_deep_terms_keep_their_fields(spark):
+    deep = "[" * 20_000 + "]" * 20_000
+    df = spark.createDataFrame([(1, '{"localized_concepts": [{"terms": [{"extra": %s, "designation": "t"}]}]}' % deep)], "record_id long, body string")
+    assert [r.designation for r in nested.flat(nested.tagged_rows(df), "term").collect()] == ["t"]
