@@ -34,15 +34,17 @@ def _texts(x) -> list[str]:
 
 
 def languages_of(order: int, code: str, entry) -> list[tuple]:
-    """One row per language of a concept: the values of its map that are maps with terms."""
+    """One row per language of a concept: the values of its map that are maps with terms.
+
+    Several definitions are one text with a blank line between them.
+    """
     rows = []
     for lang, v in entry.items() if isinstance(entry, dict) else ():
         if not (isinstance(v, dict) and v.get("terms")):
             continue
         terms = [tuple(_text(t.get(k)) for k in _TERM) for t in v["terms"] if isinstance(t, dict)]
-        definition = v.get("definition")
-        first = _texts(definition)[:1]
-        rows.append((order, code, lang, len(rows), terms, first[0] if first else None, _texts(v.get("notes")), _texts(v.get("examples")), *[_text(v.get(k)) for k in _TEXTS]))
+        definitions = [t for t in _texts(v.get("definition")) if t]
+        rows.append((order, code, lang, len(rows), terms, "\n\n".join(definitions) if definitions else None, _texts(v.get("notes")), _texts(v.get("examples")), *[_text(v.get(k)) for k in _TEXTS]))
     return rows
 
 

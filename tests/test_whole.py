@@ -8,6 +8,7 @@ from glossweave.operators import nested
 from glossweave.operators.sheet import COLUMNS, as_sheet
 from glossweave.plans import core
 from glossweave.sinks import files
+from glossweave.sources import snapshots
 
 
 def exported(spark, *rows, **options):
@@ -90,3 +91,8 @@ def test_deep_terms_keep_their_fields(spark):
     deep = "[" * 20_000 + "]" * 20_000
     df = spark.createDataFrame([(1, '{"localized_concepts": [{"terms": [{"extra": %s, "designation": "t"}]}]}' % deep)], "record_id long, body string")
     assert [r.designation for r in nested.flat(nested.tagged_rows(df), "term").collect()] == ["t"]
+
+
+def test_every_definition_is_kept(tmp_path):
+    entry = {"eng": {"terms": [{"designation": "t"}], "definition": [{"content": "one"}, "two", None]}, "fra": {"terms": [{"designation": "u"}], "definition": []}}
+    assert [r[5] for r in snapshots.languages_of(0, "1", entry)] == ["one\n\ntwo", None]
