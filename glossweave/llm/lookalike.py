@@ -17,6 +17,7 @@ import unicodedata
 from functools import reduce
 
 import pandas as pd
+from py4j.java_gateway import JavaPackage
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +26,6 @@ TABLE_END = 0x30000
 #: Proven bound of the table sent to executors: one entry per code point that has another prototype.
 MAX_TABLE = 20_000
 
-#: Look-alikes used where the JVM has no ICU (thin clients).
-FALLBACK = dict(
-    zip(
-        "АВЕЅІЈКМНОРСТУХаесорхуѕіјһԁԛԝԌҺΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρµΩÅ",
-        "ABESIJKMHOPCTYXaecopxysijhdqwGhABEZHIKMNOPTYXovpμΩÅ",
-    )
-) | {"‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-"}
-
 
 def invisible(cp: int) -> bool:
     """Whether a character leaves no mark: format characters and the other default-ignorable ones."""
@@ -64,13 +57,15 @@ def _by_rule() -> dict[int, str]:
 
 
 def _prototypes(spark: SparkSession) -> dict[int, str]:
-    """Each character's prototype after decomposition, where it has another one than itself."""
+    """Each character's prototype after decomposition, where it has another one than itself.
+
+    Without Spark's ICU library there is no table, and no smaller one takes its place.
+    """
     cps = [cp for cp in range(0x80, TABLE_END) if unicodedata.category(chr(cp)) not in ("Cn", "Cs", "Co", "Cc")]
-    try:
-        checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
-        got = checker.getSkeleton("\n".join(map(chr, cps))).split("\n")
-    except Exception:
-        return {ord(a): b for a, b in FALLBACK.items()}
+    spoof = spark._jvm.com.ibm.icu.text.SpoofChecker
+    if isinstance(spoof, JavaPackage):  # what the gateway gives for a class that isn't there
+        raise RuntimeError("no ICU library in this session's JVM: look-alikes can't be told")
+    got = spoof.Builder().build().getSkeleton("\n".join(map(chr, cps))).split("\n")
     assert len(got) == len(cps)
     table = {}
     for cp, proto in zip(cps, got):
