@@ -513,13 +513,22 @@ def xref_lookup(spark, d):
     return lookup.name_bare_references(ex.references(rows, "definition"), english)
 
 
-@query(r"""SELECT export_id, '*' || ievref || '* stem:[x]~1~^2^' || chr(10) || replace(definition, chr(0), '') || chr(10) AS markup FROM iev_export WHERE definition IS NOT NULL AND NOT contains(definition, '<') AND NOT contains(definition, '&')""")
-def markup_convert(spark, d):
+def _marked_up(rows):
     html = F.concat(F.lit("<b>"), F.col("ievref"), F.lit("</b> <i>x</i><sub>1</sub><sup>2</sup><br><span><p>"), F.col("definition"), F.lit("</span>"))
-    rows = table(spark, d, "iev_export").where("definition is not null and not contains(definition, '<') and not contains(definition, '&')")
     return rows.select("export_id", adoc.markup_of(html, F.substring("ievref", 1, 3)).alias("markup"))
 
 
+@query(r"""SELECT export_id, '*' || ievref || '* stem:[x]~1~^2^' || chr(10) || replace(definition, chr(0), '') || chr(10) AS markup FROM iev_export WHERE definition IS NOT NULL AND NOT contains(definition, '<') AND NOT contains(definition, '&')""")
+def markup_convert(spark, d):
+    return _marked_up(table(spark, d, "iev_export").where("definition is not null and not contains(definition, '<') and not contains(definition, '&')"))
+
+
+@query()
+def markup_convert_all(spark, d):
+    """All definitions, those with markup of their own too, which SQL can't convert."""
+    return _marked_up(table(spark, d, "iev_export").where("definition is not null"))
+
+
 @query()
 def content_convert(spark, d):
     """The whole chain over definitions as they are."""

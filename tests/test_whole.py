@@ -96,3 +96,11 @@ def test_deep_terms_keep_their_fields(spark):
 def test_every_definition_is_kept(tmp_path):
     entry = {"eng": {"terms": [{"designation": "t"}], "definition": [{"content": "one"}, "two", None]}, "fra": {"terms": [{"designation": "u"}], "definition": []}}
     assert [r[5] for r in snapshots.languages_of(0, "1", entry)] == ["one\n\ntwo", None]
+
+
+def test_definitions_with_markup_are_converted(spark, tmp_path):
+    texts = {"plain": "plain", "see <a href=IEV 102-01-10>set</a>": "see {{urn:iec:std:iec:60050-102-01-10, set}}", "<b>a</b> &amp; b": "*a* & b", "x < 5 V": "x < 5 V"}
+    df = spark.createDataFrame([(i, "103-01-01", t) for i, t in enumerate([*texts, None])], "export_id long, ievref string, definition string")
+    df.write.parquet(str(tmp_path / "iev_export.parquet"))
+    got = {r.export_id: r.markup for r in core.markup_convert_all(spark, str(tmp_path)).collect()}
+    assert got == {i: f"*103-01-01* stem:[x]~1~^2^\n{t}\n" for i, t in enumerate(texts.values())}
