@@ -1,70 +1,76 @@
 """Pages of stuffed keywords, link lists or tags, told by the shapes of their lines.
 
-Each scanned line is reduced to a *shape*: how many words it has, how many of them begin
-with a capital, carry a figure or are function words, which separators stand between them,
-whether a sentence ends in it, and how many links and tags it holds.  The words themselves
-are gone; what is left of a page is a small group table, shape by shape, of lines and
+Each scanned line is reduced to a *shape*: its links, tags and separators, how much of it is
+words that the page itself repeats, figures, how many words, capitals and short words it has,
+and whether a sentence ends in it.  The words are gone, and no list of words of any language
+takes part.  What is left of a page is a small group table, shape by shape, of lines and
 characters.
 
-Shapes fall into kinds.  A line of a sentence has a function word or a sentence's end; a
-line of a record (results, prices, arrivals) has figures; lines of links, of tags, and of
-bare words without either are no sentences.  A page of which more than half the characters,
-headlines aside, lie in non-sentence shapes is flagged.  A news page has thousands of
-different words but shapes of sentences; a stuffed page has a few shapes, all of them bare.
+A shape is no sentence if it holds links or tags; if separators cut it into short items; if
+most of its longer words are ones that the page repeats beyond what sentences do; or if it is
+bare (no short word, no figure, no end of a sentence) and the same shape recurs over much of
+the page, as bare names one a line do.  Sentences of any language mix short and long words,
+end somewhere and seldom repeat a longer word.  A page is flagged if its few largest
+non-sentence shapes hold more than half of its characters.
 
-All of it happens within the row: no shuffle, and a page of any length is one linear scan.
+All of it happens within the row: no shuffle, and a page of any length is two linear scans.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Share of a page's text that non-sentence shapes must exceed.
-DOMINANCE = 0.5
+#: Share of a page's text that its few largest non-sentence shapes must exceed, and how many they are.
+DOMINANCE, FEW = 0.5, 8
+#: A longer word is repeated beyond what sentences do if it makes up this share of the page's longer words, and so many.
+REPEATED_SHARE, REPEATED_LEAST = 0.03, 4
+#: Letters of a short word, as the small words of sentences mostly are.
+SHORT = 3
+#: Words to an item of a list with hard separators, at most.
+ITEM_WORDS = 8
+#: A bare shape counts as a list of names from so many lines and such a share of the page's text.
+UNIFORM_LINES, UNIFORM_SHARE = 8, 0.2
 
-#: Words that sentences are built with, in the languages of the pages.
-FUNCTION_WORDS = frozenset(
-    """
-    a about above after again all also an and any are as at be been before being between but by can could did do does down during each few
-    for from further had has have he her here him his how i if in into is it its me more more my no nor not of off on once only or other our
-    out over own same she should so some such than that the their them then there these they this those through to too under until up very
-    was we were what when where which while who whom why will with would you your since without
-    aber als am an auch auf aus bei bin bis da damit dann das dass dem den der des die dies diese dieser doch dort du durch ein eine einem einen
-    einer eines er es für hat hatte ich ihr im in ist ja kein keine können man mehr mit nach nicht noch nun nur ob oder ohne sich sie sind so
-    über um und uns unter vom von vor war waren was weil wenn wer wie wieder wird worden wurde wurden zu zum zur zwischen seit etwa
-    au aux avec c ce ces cette d dans de des du elle en entre est et eu il ils j je l la le les leur lui ma mais me même mes n ne nous on ont ou
-    où par pour qu que qui s sa sans se ses si son sont sous sur ta te tu un une vous été été depuis près a ans aucun aucune fut
-    al algo como con contra cual cuando de del desde donde durante el ella ellos en entre era es esa ese eso esta este esto ha han hay la las le
-    lo los más me mi muy no nos o os para pero por porque que quien se ser si sin sobre son su sus también tan tiene un una uno unos unas y ya fue cerca
-    """.split()
-)
 DOMAIN = re.compile(r"[^\W_][\w-]*(?:\.[\w-]+)*\.[^\W\d_A-Z]{2,}(?:/|\)|\]|$|,|\|)")
 TAG = re.compile(r"^[#@][^\W\d_]")
-END = re.compile(r"[.!?:;][\"'”»)\]]*$")
+END = re.compile(r"[.!?][\"'”»)\]]*$")
 WORD = re.compile(r"[^\W\d_]+")
-REPEATED = re.compile(r"[^\W\d_]++(?!\.)")
-SEPARATORS = frozenset("-–—*|+·•/>~=_,;:·»«")
+#: Marks that stand between items, hardly in sentences, and those that stand in both.
+HARD = frozenset("|+·•*>~=»«\\<_/")
+SOFT = frozenset("-–—:;,")
+BROKEN = re.compile(r"([^\W\d_])[-\xad¬]\s*\n[ \t]*([^\W\d_]\S*)[ \t]*")
+
+NOT_LISTED, HARD_LIST, SOFT_LIST = 0, 1, 2
 
-SENTENCE, RECORD, HEAD, BARE, LINKS, TAGS, SHORT = "sentence", "record", "head", "bare", "links", "tags", "short"
-NOT_SENTENCES = frozenset((BARE, LINKS, TAGS))
-#: A word is stuffed if it is no function word and makes up at least this share of a page's words, and so many.
-STUFFED_SHARE, STUFFED_LEAST = 0.04, 5
 
+class Shape(NamedTuple):
+    """What is left of a line; counts are bucketed, so that lines of one make share a shape."""
 
-def stuffed_words(text: str) -> frozenset[str]:
-    """The words that a page repeats beyond what sentences do; abbreviations, with their stop, don't count."""
-    words = [w for w in REPEATED.findall(text.lower()) if w not in FUNCTION_WORDS]
-    least = max(STUFFED_LEAST, STUFFED_SHARE * len(words))
-    return frozenset(w for w, n in Counter(words).items() if n >= least)
+    link: bool
+    tag: bool
+    #: not listed, or items between hard or soft separators
+    listed: int
+    #: how much of its longer words the page repeats: 0, from half, from three quarters
+    repeated: int
+    #: figures: none, some, from a third of its words
+    figures: int
+    #: words: none, one, up to five, more
+    words: int
+    #: words with a capital: none, some, all
+    capitals: int
+    #: short words: none, up to a quarter, more
+    short: int
+    end: bool
 
 
 class Tokens(dict):
-    """What a token adds to a shape, made once per token: its nine counts, and its word if that may be a stuffed one."""
+    """What a token adds to a shape, made once per token: its nine counts, and its word if that is a longer one."""
 
     #: Entries at which the table is emptied, and longest token it keeps; only speed depends on them.
     MOST, LONGEST = 300_000, 64
@@ -79,95 +85,102 @@ class Tokens(dict):
 
     @staticmethod
     def read(t: str) -> tuple[tuple[int, ...], str | None]:
+        """(word, capital, short, figure, hard, soft, end, link, tag) and the word."""
         if "." in t and ("://" in t or DOMAIN.search(t)) or t[0] == "[" and "]" not in t:
-            return (0, 0, 0, 0, 0, 0, 0, 1, 0, 0), None
-        if t[0] in "#@" and TAG.match(t):
-            return (0, 0, 0, 0, 0, 0, 0, 0, 1, 0), None
-        if all(c in SEPARATORS for c in t):
-            return (0, 0, 0, 0, 0, 1, 0, 0, 0, 0), None
-        if t[-1] == ":":
-            return (0, 0, 0, 0, 0, 0, 0, 0, 0, 1), None
-        separator = int(t[-1] in ",;|")
-        end = int(not separator and END.search(t) is not None)
+            return (0, 0, 0, 0, 0, 0, 0, 1, 0), None
+        if TAG.match(t):
+            return (0, 0, 0, 0, 0, 0, 0, 0, 1), None
+        if all(c in HARD for c in t):
+            return (0, 0, 0, 0, 1, 0, 0, 0, 0), None
+        if all(c in SOFT for c in t):
+            return (0, 0, 0, 0, 0, 1, 0, 0, 0), None
+        hard = int(t[-1] == "|" or t[0] == "|")
+        soft = int(t[-1] in ",;:/")
+        end = int(END.search(t) is not None)
         figure = int(any(c.isdigit() for c in t))
-        word = WORD.search(t)
-        if word is None:
-            return (0, 0, 0, figure, 0, separator, end, 0, 0, 0), None
-        w, low = word[0], word[0].lower()
-        function = int(low in FUNCTION_WORDS)
-        upper = int(len(w) > 1 and w.isupper())
-        return (1, int(not upper and w[0].isupper()), upper, figure, function, separator, end, 0, 0, 0), None if function else low
+        words = WORD.findall(t)
+        if not words:
+            return (0, 0, 0, figure, hard, soft, end, 0, 0), None
+        longest = max(words, key=len)
+        short = int(len(longest) <= SHORT and longest.islower())
+        return (1, int(words[0][0].isupper()), short, figure, hard, soft, end, 0, 0), longest.lower() if len(longest) > SHORT else None
 
 
 TOKENS = Tokens()
 
 
-def shape(line: str, stuffed: frozenset[str] = frozenset()) -> tuple | None:
-    """The shape of a line; None if it is blank.
-
-    (words, capitals, all-capitals, figures, function words, stuffed words, separators, ends, links, tags, labels)
-    """
-    tokens = line.split()
-    if not tokens:
-        return None
-    read = [TOKENS[t] for t in tokens]
-    words, capitals, upper, figures, function, separators, ends, links, tags, labels = map(sum, zip(*[r[0] for r in read]))
-    often = sum(r[1] in stuffed for r in read) if stuffed else 0
-    return words, capitals, upper, figures, function, often, separators, ends, links, tags, labels
-
-
-def kind(s: tuple) -> str:
-    """The kind of a shape."""
-    words, capitals, upper, figures, function, often, separators, ends, links, tags, labels = s
-    if links:
-        return LINKS
-    if tags or labels and not function:
-        return TAGS
-    if words and often * 2 >= words and not function and not figures:
-        return BARE
-    if figures and figures * 3 >= words:
-        return RECORD
-    if function or ends:
-        return SENTENCE
-    if upper and upper * 2 >= words:
-        return HEAD
-    if words + separators < 2:
-        return SHORT
-    return BARE
-
-
-BROKEN = re.compile(r"([^\W\d_])[-\xad¬]\s*\n[ \t]*([^\W\d_]\S*)[ \t]*")
-
-
-def page_shapes(text: str | None) -> Counter:
-    """Characters of a page by shape; words broken at a line's end are whole again on the line they began."""
-    out: Counter = Counter()
-    whole = BROKEN.sub(r"\1\2\n", text or "")
-    stuffed = stuffed_words(whole)
-    for line in whole.split("\n"):
-        s = shape(line, stuffed)
-        if s is not None:
-            out[s] += len(line.strip())
-    return out
+def shape(tokens: list[tuple], repeated: frozenset[str] | set[str] = frozenset()) -> Shape:
+    """The shape of a line's tokens, given the words that its page repeats."""
+    words, capitals, short, figures, hard, soft, ends, links, tags = map(sum, zip(*[t[0] for t in tokens]))
+    longer = [t[1] for t in tokens if t[1]]
+    often = sum(w in repeated for w in longer)
+    if hard and words <= ITEM_WORDS * hard:
+        listed = HARD_LIST
+    elif soft and not figures and not ends and (soft > 1 and soft * 5 >= words * 2 or soft * 4 >= words and not short):
+        listed = SOFT_LIST
+    else:
+        listed = NOT_LISTED
+    return Shape(
+        links > 0,
+        tags > 0,
+        listed,
+        0 if not often or often * 2 < len(longer) else 1 if often * 4 < len(longer) * 3 else 2,
+        0 if not figures else 1 if figures * 3 < words else 2,
+        words if words < 2 else 2 if words < 6 else 6,
+        0 if not capitals else 1 if capitals < words else 2,
+        0 if not short else 1 if short * 4 <= words else 2,
+        ends > 0,
+    )
+
+
+def shapes(text: str | None) -> dict[Shape, tuple[int, int]]:
+    """Lines and characters of a page by shape; words broken at a line's end are whole again on the line they began."""
+    lines, seen = [], Counter()
+    for line in BROKEN.sub(r"\1\2\n", text or "").split("\n"):
+        tokens = [TOKENS[t] for t in line.split()]
+        if tokens:
+            seen.update(w for _, w in tokens if w)
+            lines.append((tokens, len(line.strip())))
+    least = max(REPEATED_LEAST, REPEATED_SHARE * seen.total())
+    repeated = {w for w, n in seen.items() if n >= least}
+    table: dict[Shape, tuple[int, int]] = {}
+    for tokens, chars in lines:
+        s = shape(tokens, repeated)
+        n, sum_of = table.get(s, (0, 0))
+        table[s] = n + 1, sum_of + chars
+    return table
+
+
+def no_sentence(s: Shape, lines: int, share: float) -> bool:
+    """Whether a shape that so many lines and such a share of the page have is no sentence's (or record's)."""
+    if s.link or s.tag:
+        return True
+    if s.figures == 2:  # results, prices, arrivals
+        return False
+    if s.listed or s.repeated == 2:
+        return True
+    if s.figures or s.end or not s.words:
+        return False
+    return s.repeated == 1 and s.short < 2 or s.short == 0 and lines >= UNIFORM_LINES and share >= UNIFORM_SHARE
 
 
 def page_score(text: str | None) -> tuple[int, int, int, float]:
-    """(number of shapes, characters in sentences, records and headlines, in non-sentence shapes, share of the latter)."""
-    by_shape = page_shapes(text)
-    by_kind: Counter = Counter()
-    for s, n in by_shape.items():
-        by_kind[kind(s)] += n
-    bad = sum(by_kind[k] for k in NOT_SENTENCES)
-    good = by_kind[SENTENCE] + by_kind[RECORD] + by_kind[HEAD]
-    return len(by_shape), good, bad, bad / (good + bad) if good + bad else 0.0
+    """(number of shapes, characters, those in non-sentence shapes, share of the few largest of these)."""
+    table = shapes(text)
+    chars = sum(n for _, n in table.values())
+    bad = sorted((n for s, (lines, n) in table.items() if no_sentence(s, lines, n / chars)), reverse=True)
+    return len(table), chars, sum(bad), sum(bad[:FEW]) / chars if chars else 0.0
 
 
-SCORES = "n_shapes int, sentence_chars long, other_chars long, share double"
-_SCORES = [("n_shapes", pa.int32()), ("sentence_chars", pa.int64()), ("other_chars", pa.int64()), ("share", pa.float64())]
+SCORES = "n_shapes int, all_chars long, other_chars long, share double"
+_SCORES = [("n_shapes", pa.int32()), ("all_chars", pa.int64()), ("other_chars", pa.int64()), ("share", pa.float64())]
 
 
 def page_scores(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(row_id, n_shapes, sentence_chars, other_chars, share)`` per page; zeros for null, empty and blank texts."""
+    """``(row_id, n_shapes, all_chars, other_chars, share)`` per page; zeros for null, empty and blank texts.
+
+    ``share`` is that of the few largest non-sentence shapes in all characters.
+    """
     out = T.StructType([df.schema[row_id], *T._parse_datatype_string(SCORES).fields])
 
     def run(batches):
@@ -180,7 +193,7 @@ def page_scores(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> Da
 
 
 def found(documents: DataFrame) -> DataFrame:
-    """``(doc_id)`` of the pages of which more than half is no sentences.
+    """``(doc_id)`` of the pages that few non-sentence shapes dominate.
 
     Null, empty and blank pages are no case; a page exactly at half is none; every repeated
     page is judged by itself.

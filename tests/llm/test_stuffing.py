@@ -1,6 +1,9 @@
 """Pages of stuffed keywords."""
 
 import random
+import textwrap
+
+import pytest
 
 from glossweave.llm import stuffing as S
 
@@ -69,13 +72,48 @@ def test_columns_read_across():
     assert share("\n".join(mixed)) > 0.5
 
 
+def of(line, repeated=()):
+    return S.shape([S.TOKENS[t] for t in line.split()], frozenset(repeated))
+
+
 def test_shape():
-    assert S.shape("") is None and S.shape("  ") is None
-    assert S.kind(S.shape("At noon the tea was sold.")) == S.SENTENCE
-    assert S.kind(S.shape("QUIET BOOTS KELSEY")) == S.HEAD
-    assert S.kind(S.shape("Norwick, wheat, 8s. 8d. per cwt.")) == S.RECORD
-    assert S.kind(S.shape("#tea #lamps")) == S.TAGS and S.kind(S.shape("see www.tea.example/x")) == S.LINKS
-    assert S.kind(S.shape("tea lamps boots stoves")) == S.BARE and S.kind(S.shape("tea")) == S.SHORT
+    assert of("At noon the tea was sold.").end and not S.no_sentence(of("At noon the tea was sold."), 1, 1.0)
+    assert of("Norwick, wheat, 8s. 8d. per cwt.").figures == 2
+    assert of("#tea #lamps").tag and of("see www.tea.example/x").link
+    assert of("Cars for sale | Houses for rent").listed == S.HARD_LIST and of("lamps, boots, stoves,").listed == S.SOFT_LIST
+    assert of("lamps and boots", {"lamps", "boots"}).repeated == 2 and of("lamps and boots", {"lamps"}).repeated == 1
+    assert of("Northern carriage strike") == of("Western lantern warehouse")
+
+
+PROSE = {
+    "nl": "De burgemeester heeft gisteren in de vergadering van de gemeenteraad verklaard dat de nieuwe brug over de rivier niet voor het einde van het jaar klaar zal zijn. "
+    "Volgens hem is de vertraging het gevolg van het slechte weer en van een tekort aan werklieden. De leden van de raad waren niet tevreden met dit antwoord.",
+    "it": "Il sindaco ha dichiarato ieri davanti al consiglio comunale che il nuovo ponte sul fiume non sarà pronto prima della fine dell'anno. "
+    "Secondo lui il ritardo è dovuto al cattivo tempo e alla mancanza di operai. I consiglieri non sono rimasti soddisfatti della risposta.",
+    "fi": "Kaupunginjohtaja ilmoitti eilen valtuuston kokouksessa, että uusi silta joen yli ei valmistu ennen vuoden loppua. "
+    "Hänen mukaansa viivästys johtuu huonosta säästä ja työvoiman puutteesta. Valtuutetut eivät olleet tyytyväisiä vastaukseen.",
+    "pl": "Burmistrz oświadczył wczoraj na posiedzeniu rady miejskiej, że nowy most na rzece nie będzie gotowy przed końcem roku. "
+    "Według niego opóźnienie jest skutkiem złej pogody i braku robotników. Członkowie rady nie byli zadowoleni z tej odpowiedzi.",
+    "ru": "Городской голова вчера объявил на заседании думы, что новый мост через реку не будет готов до конца года. "
+    "По его словам, задержка вызвана дурной погодой и недостатком рабочих. Члены думы остались недовольны этим ответом.",
+}
+
+
+@pytest.mark.parametrize("lang", PROSE)
+@pytest.mark.parametrize("width", [30, 44, 70])
+def test_prose_of_any_language_is_none(lang, width):
+    assert share("\n".join(textwrap.wrap(PROSE[lang], width))) < 0.35
+
+
+def test_stuffing_with_small_words_link_titles_and_bare_names():
+    assert share("\n".join(["buy cheap shoes for the best price of shoes"] * 11)) == 1.0
+    assert share("\n".join(["Cars for sale | Houses for rent", "Rooms to let | Jobs in town", "Loans by post | Tea by mail"] * 6)) == 1.0
+    assert share("\n".join("Acora Belvane Cindrex Dolvino Eltrama Farnado Gelvita Hostrel Imbrado Jalvera Kestomir Lorvane Mestrion Noravel Ostrava Pelmira Quandor Restovan Silmara Tolvane".split())) == 1.0
+
+
+def test_verse_is_none():
+    verse = "The moon is on the water now,\nThe wind is in the tree,\nAnd far away across the hill\nMy love is gone from me."
+    assert share(verse + "\nOh, come again, my own true love,\nOh, come again to me,\n" + verse) < 0.5
 
 
 def test_rows(spark):
