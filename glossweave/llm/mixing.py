@@ -97,23 +97,20 @@ def mix(documents: DataFrame, targets: DataFrame, *, total_tokens: int | None =
     taken = chosen.groupBy("source").agg(
         F.sum(F.col("n_tokens") * F.col("_copies")).alias("tokens_taken"), F.count(F.lit(1)).alias("pages_taken"), F.sum("_copies").alias("copies_taken")
     )
-    delivered = F.sum(F.when(F.col("tokens") > 0, F.col("target_share"))).over(Window.partitionBy())
-    every = F.sum("tokens_taken").over(Window.partitionBy())
-    shares = (
-        per_source.join(taken, "source", "left")
-        .na.fill(0, ["tokens_taken", "pages_taken", "copies_taken"])
-        .select(
-            "source",
-            "target_share",
-            "max_repeats",
-            F.col("tokens").alias("tokens_available"),
-            "budget",
-            "tokens_taken",
-            "pages_taken",
-            "copies_taken",
-            F.coalesce(F.try_divide(F.col("tokens_taken"), every), F.lit(0.0)).alias("reached_share"),
-            F.coalesce(F.try_divide(F.when(F.col("tokens") > 0, F.col("target_share")), delivered), F.lit(0.0)).alias("share_of_delivered"),
-        )
+    per_target = per_source.join(taken, "source", "left").na.fill(0, ["tokens_taken", "pages_taken", "copies_taken"])
+    sums = per_target.agg(F.sum(F.when(F.col("tokens") > 0, F.col("target_share"))), F.sum("tokens_taken")).first()
+    delivered, every = (F.lit(x).cast("double") for x in sums)
+    shares = per_target.select(
+        "source",
+        "target_share",
+        "max_repeats",
+        F.col("tokens").alias("tokens_available"),
+        "budget",
+        "tokens_taken",
+        "pages_taken",
+        "copies_taken",
+        F.coalesce(F.try_divide(F.col("tokens_taken"), every), F.lit(0.0)).alias("reached_share"),
+        F.coalesce(F.try_divide(F.when(F.col("tokens") > 0, F.col("target_share")), delivered), F.lit(0.0)).alias("share_of_delivered"),
     )
     reached = shares.select("source", "reached_share")
     rows = chosen.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_copies")))).join(reached, "source")

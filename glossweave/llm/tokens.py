@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossweave.llm.transducer import StreamDecoder, encoder
@@ -76,11 +76,28 @@ def decode_ids(df: DataFrame, row_id: str, ids: str, vocabulary: tuple[str, str]
     return df.select(row_id, ids).mapInArrow(run, schema)
 
 
-def round_trip(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """``(row_id, n_ids, same)``: whether decoding the encoding gives each text back (null as '')."""
-    ids = encode_texts(df, row_id, text)
-    back = decode_ids(ids, row_id, "ids").withColumnRenamed("text", "_back")
-    source = df.select(F.col(row_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    sizes = ids.select(F.col(row_id).alias("_n_id"), F.size("ids").alias("n_ids"))
-    joined = source.join(back, source["_id"] == back[row_id]).join(sizes, F.col("_n_id") == F.col("_id"))
-    return joined.select(F.col("_id").alias(row_id), "n_ids", (F.col("_text") == F.col("_back")).alias("same"))
+def round_trip(df: DataFrame, row_id: str, text: str, vocabulary: tuple[str, str] | None = None) -> DataFrame:
+    """``(row_id, n_ids, digest, same)``: each text encoded and decoded again, in one pass.
+
+    ``digest`` is the MD5 of the decoded UTF-8, ``same`` whether it is the text (null as '').
+    Repeated ids keep a row each.
+    """
+    path, pattern = vocabulary or public_vocabulary()
+    fields = [T.StructField("n_ids", T.LongType(), False), T.StructField("digest", T.StringType(), False), T.StructField("same", T.BooleanType(), False)]
+    schema = T.StructType([df.schema[row_id], *fields])
+
+    def run(batches):
+        enc = encoder(path, pattern)
+        for b in batches:
+            sizes, digests, same = [], [], []
+            for s in b.column(1).to_pylist():
+                ids = array("i")
+                enc.into(s, ids)
+                d = StreamDecoder(enc.machine.token)
+                back = d.feed(ids) + d.close()
+                sizes.append(len(ids))
+                digests.append(hashlib.md5(back.encode("utf-8", "surrogatepass")).hexdigest())
+                same.append(back == (s or ""))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], names=schema.names)
+
+    return df.select(row_id, text).mapInArrow(run, schema)

@@ -25,6 +25,7 @@ from functools import lru_cache
 #: Sizes at which the grown parts are dropped and grown anew; only speed depends on them.
 MAX_STATES = 150_000
 MAX_PIECES = 200_000
+MAX_PAIRS = 500_000
 #: Longer pieces always go through the machine, so that what is kept stays small.
 MAX_KEPT = 64
 
@@ -62,6 +63,8 @@ class Transducer:
         """The id of ``piece`` if it is a token that the merges make of its own bytes."""
         got = self._whole.get(piece, -1)
         if got == -1:
+            if len(self._whole) > MAX_PAIRS:
+                self._whole.clear()
             i = self.ranks.get(piece)
             got = self._whole[piece] = i if i is not None and (len(piece) == 1 or self.merged(piece) == [i]) else None
         return got
@@ -72,6 +75,8 @@ class Transducer:
             return True
         got = self._pair.get((a, b))
         if got is None:
+            if len(self._pair) > MAX_PAIRS:
+                self._pair.clear()
             got = self._pair[a, b] = self.merged(self.token[a] + self.token[b]) == [a, b]
         return got
 
@@ -139,12 +144,16 @@ class Transducer:
         return got
 
     def encode(self, piece: bytes) -> list[int]:
-        """The ids of one piece of text."""
-        if len(self.states) > MAX_STATES:
-            self.reset()
+        """The ids of one piece of text; a full machine is emptied wherever in the piece that happens."""
         arcs, state, out = self.arcs, 0, []
         for byte in piece:
-            arc = arcs[state].get(byte) or self.step(state, byte)
+            arc = arcs[state].get(byte)
+            if arc is None:
+                if len(self.states) > MAX_STATES:
+                    here = self.states[state]
+                    self.reset()
+                    arcs, state = self.arcs, self._state(*here)
+                arc = self.step(state, byte)
             state = arc[0]
             if arc[1]:
                 out += arc[1]

@@ -71,8 +71,15 @@ def test_machine_may_be_emptied(ours, monkeypatch):
     want = [ids(ours, t) for t in TEXTS]
     monkeypatch.setattr(X, "MAX_STATES", 50)
     monkeypatch.setattr(X, "MAX_PIECES", 3)
+    monkeypatch.setattr(X, "MAX_PAIRS", 20)
     ours.clear()
     assert [ids(ours, t) for t in TEXTS] == want
+    # one piece alone may overrun the machine: it is emptied on the way
+    r = random.Random(9)
+    long = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5000))
+    got, most = ids(ours, long), len(ours.machine.states)
+    assert most < 200 and len(ours.machine._pair) <= 21 and len(ours.machine._whole) <= 21
+    assert list(ours.machine.merged(long.encode())) == got
 
 
 def test_utf8_machine():
@@ -111,6 +118,9 @@ def test_round_trip(spark, data):
     docs = table(spark, data, "documents")
     got = K.round_trip(docs, "doc_id", "text")
     assert got.count() == docs.count() and got.where("not same").count() == 0
+    twice = spark.createDataFrame([(1, "é a"), (1, "é a"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_ids > 0, r.same) for r in K.round_trip(twice, "doc_id", "text").collect()) == [(1, True, True)] * 2 + [(2, False, True)]
+    assert "Exchange" not in K.round_trip(docs, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_plan_is_one_pass(spark, data):
