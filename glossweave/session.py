@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,7 +38,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session's ``spark.checkpoint.dir`` names it.
 
-    Only where that is unset (tests, a laptop) a temporary folder is made and set.
+    Only where that is unset and all of Spark runs on this machine (tests, a laptop) a temporary
+    folder is made, set, and removed when the process ends; a cluster without the setting is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -45,7 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         spark.sparkContext.setCheckpointDir(named)
         return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="glossweave-checkpoint-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir("file://" + os.path.abspath(path))
     return path
 
