@@ -14,7 +14,6 @@ that a reader can tell apart (digits and letters of ASCII among themselves, ``m`
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
 
 import pandas as pd
 from py4j.java_gateway import JavaPackage
@@ -116,15 +115,14 @@ def skeleton(spark: SparkSession):
 
 
 def spellings(rows: DataFrame, group: list[str], text: str) -> DataFrame:
-    """Distinct texts of each group with their skeleton, of skeletons spelled in more than one way.
+    """``(*group, text, n_rows, skeleton)``: the distinct texts of each group, laid out by (group, skeleton).
 
     Texts are made distinct before the skeleton is computed, so a text that fills a third of
-    the table costs one call and one row of the shuffle per partition.
+    the table costs one call and one row of the shuffle per partition.  Whatever reads this
+    twice by skeleton shares the one exchange, and with it the one pass of Python.
     """
-    distinct = rows.select(*group, text).distinct()
-    marked = distinct.withColumn("_skeleton", skeleton(rows.sparkSession)(F.col(text)))
-    several = marked.groupBy(*group, "_skeleton").count().where("count > 1").drop("count")
-    return marked.join(several, [*group, "_skeleton"])
+    distinct = rows.groupBy(*group, text).agg(F.count(F.lit(1)).alias("n_rows"))
+    return distinct.withColumn("skeleton", skeleton(rows.sparkSession)(F.col(text))).repartition(*group, "skeleton")
 
 
 def lookalike_pairs(rows: DataFrame, row_id: str, group: list[str], text: str) -> DataFrame:
@@ -137,9 +135,9 @@ def lookalike_pairs(rows: DataFrame, row_id: str, group: list[str], text: str) -
     """
     rows = rows.select(row_id, *group, text).where(F.col(text).isNotNull()).dropna(subset=group)
     known = spellings(rows, group, text)
-    a = known.select(*group, "_skeleton", F.col(text).alias("_text_a"))
-    b = known.select(*group, "_skeleton", F.col(text).alias("_text_b"))
-    pairs = a.join(b, [*group, "_skeleton"]).where(F.col("_text_a") < F.col("_text_b")).drop("_skeleton")
+    a = known.select(*group, "skeleton", F.col(text).alias("_text_a"))
+    b = known.select(*group, "skeleton", F.col(text).alias("_text_b"))
+    pairs = a.join(b, [*group, "skeleton"]).where(F.col("_text_a") < F.col("_text_b")).drop("skeleton")
     left = rows.select(*group, F.col(text).alias("_text_a"), F.col(row_id).alias("_a"))
     right = rows.select(*group, F.col(text).alias("_text_b"), F.col(row_id).alias("_b"))
     met = pairs.join(left, [*group, "_text_a"]).join(right, [*group, "_text_b"]).where("_a <> _b")
@@ -147,32 +145,43 @@ def lookalike_pairs(rows: DataFrame, row_id: str, group: list[str], text: str) -
 
 
 def classes(rows: DataFrame, row_id: str, group: list[str], text: str) -> DataFrame:
-    """One row per row of the table: ``(row_id, *group, skeleton, n_spellings)``.
+    """One row per row of the table: ``(row_id, *group, skeleton, n_spellings, n_links, plain)``.
 
-    ``n_spellings`` counts the different texts of the group (null is a group of its own) with
-    that skeleton; rows with null text have null and 0.
+    The form of the pairs that grows with the rows alone: ``skeleton`` names the class within
+    the group, ``n_spellings`` counts its different texts, ``n_links`` the rows that look like
+    this one and are not equal to it, and ``plain`` says whether one of its texts is the
+    skeleton itself.  Null is a group of its own; rows with null text have null, 0, 0, false.
+    Repeated ids keep a row each and count as rows.
     """
-    keys = [f"_k{i}" for i in range(len(group))]
-    marked = rows.select(row_id, *group, F.col(text).alias("_text"))
-    distinct = marked.where("_text is not null").select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col("_text").alias("_spelled")).distinct()
-    known = distinct.withColumn("skeleton", skeleton(rows.sparkSession)(F.col("_spelled")))
-    sizes = known.groupBy(*keys, "skeleton").agg(F.count(F.lit(1)).alias("n_spellings"))
-    renamed = sizes.select(*[F.col(k).alias(f"{k}s") for k in keys], F.col("skeleton").alias("_s"), "n_spellings")
-    same = [F.col(k).eqNullSafe(F.col(f"{k}s")) for k in keys] + [F.col("skeleton") == F.col("_s")]
-    spelled = known.join(renamed, reduce(lambda x, y: x & y, same)).select(*keys, "_spelled", "skeleton", "n_spellings")
-    on = [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group, keys)] + [F.col("_text") == F.col("_spelled")]
-    joined = marked.join(spelled, reduce(lambda x, y: x & y, on), "left")
-    return joined.select(row_id, *group, "skeleton", F.coalesce("n_spellings", F.lit(0).cast("long")).alias("n_spellings"))
+    marked = rows.select(row_id, *group, F.to_json(F.struct(*group)).alias("_g"), F.col(text).alias("_text"))
+    known = spellings(marked.where("_text is not null"), ["_g"], "_text")
+    plain = F.max(F.col("_text") == F.col("skeleton")).alias("plain")
+    sizes = known.groupBy("_g", "skeleton").agg(F.count(F.lit(1)).alias("n_spellings"), F.sum("n_rows").alias("_all"), plain)
+    spelled = known.join(sizes, ["_g", "skeleton"]).select("_g", "_text", "skeleton", "n_spellings", (F.col("_all") - F.col("n_rows")).alias("n_links"), "plain")
+    none = F.lit(0).cast("long")
+    return marked.join(spelled, ["_g", "_text"], "left").select(
+        row_id, *group, "skeleton", F.coalesce("n_spellings", none).alias("n_spellings"), F.coalesce("n_links", none).alias("n_links"), F.coalesce("plain", F.lit(False)).alias("plain")
+    )
 
 
 #: Fixed value: the mark of a missing term.
 MISSING = "....."
 
 
+def both_fields(localized: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(id, field_name, language_code, text)`` of the terms of localizations and the designations of terms; the mark of a missing term is null."""
+    text = lambda c: F.when(F.trim(c) != MISSING, F.col(c)).alias("text")
+    a = localized.select(F.col("l10n_id").alias("id"), F.lit("term").alias("field_name"), "language_code", text("term"))
+    b = terms.select(F.col("term_id").alias("id"), F.lit("designation").alias("field_name"), "language_code", text("designation"))
+    return a.unionByName(b)
+
+
 def found(localized: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(field_name, id_a, id_b)`` over the terms of localizations and the designations of terms."""
-    names = ["_id", "field_name", "language_code", "_text"]
-    a = localized.select(F.col("l10n_id").alias(names[0]), F.lit("term").alias(names[1]), names[2], F.col("term").alias(names[3]))
-    b = terms.select(F.col("term_id").alias(names[0]), F.lit("designation").alias(names[1]), names[2], F.col("designation").alias(names[3]))
-    both = a.unionByName(b).where(F.trim("_text") != MISSING)
-    return lookalike_pairs(both, "_id", ["field_name", "language_code"], "_text").select("field_name", "id_a", "id_b")
+    """``(field_name, id_a, id_b)`` over both fields."""
+    pairs = lookalike_pairs(both_fields(localized, terms), "id", ["field_name", "language_code"], "text")
+    return pairs.select("field_name", "id_a", "id_b")
+
+
+def all_classes(localized: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(field_name, id, language_code, skeleton, n_spellings, n_links, plain)``: the class of every row of both fields."""
+    return classes(both_fields(localized, terms), "id", ["field_name", "language_code"], "text")

@@ -12,9 +12,8 @@ def p1_found(spark, d):
 
 
 def p1_classes(spark, d):
-    """Each localization's term with its skeleton and the number of spellings of it."""
-    rows = table(spark, d, "localized_concepts")
-    return lookalike.classes(rows, "l10n_id", ["language_code"], "term")
+    """Each term and designation with its class, the spellings of it, and how many rows it is linked to."""
+    return lookalike.all_classes(table(spark, d, "localized_concepts"), table(spark, d, "terms"))
 
 
 def p2_found(spark, d):

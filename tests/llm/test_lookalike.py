@@ -1,6 +1,7 @@
 """Look-alike texts against brute force."""
 
 import itertools
+from collections import Counter
 
 import pytest
 
@@ -65,11 +66,37 @@ def test_edges(spark):
     assert len(pairs(spark, copies)) == 400
 
 
-def test_classes_have_every_row(spark, data):
-    rows = table(spark, data, "localized_concepts")
-    got = L.classes(rows, "l10n_id", ["language_code"], "term")
-    assert got.count() == rows.count() and got.where("skeleton is null").count() == rows.where("term is null").count()
-    assert got.where("n_spellings > 1").count() > 0
+def test_classes_brute_force(spark, tables):
+    texts = [x for ab in SAME[:12] + APART for x in ab] + [None, "", "​"]
+    rows = [(i, "eng" if i % 7 else None, t) for i, t in enumerate(texts * 2)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "i long, g string, t string, skeleton string")
+    got = {r.i: r for r in L.classes(df.drop("skeleton"), "i", ["g"], "t").collect()}
+    assert len(got) == len(rows)
+    for i, g, t in rows:
+        same = [u for _, h, u in rows if h == g and t is not None and u is not None and L.skeleton_of(u, *tables) == L.skeleton_of(t, *tables)]
+        assert got[i].n_links == sum(u != t for u in same) and got[i].n_spellings == len(set(same)), t
+        assert got[i].plain == any(u == got[i].skeleton for u in same)
+
+
+def test_classes_have_every_row_and_the_links_of_the_pairs(spark, data):
+    localized, terms = table(spark, data, "localized_concepts"), table(spark, data, "terms")
+    got = L.all_classes(localized, terms)
+    assert got.count() == localized.count() + terms.count()
+    links = {(r.field_name, r.id): r.n_links for r in got.where("n_links > 0").collect()}
+    ends = Counter()
+    for r in L.found(localized, terms).collect():
+        ends.update([(r.field_name, r.id_a), (r.field_name, r.id_b)])
+    # rows without a language have a class of their own, but no pairs
+    unknown = {(r.field_name, r.id) for r in got.where("language_code is null").collect()}
+    assert {k: n for k, n in links.items() if k not in unknown} == dict(ends)
+
+
+def test_the_skeleton_is_computed_once(spark, data):
+    L.found(table(spark, data, "localized_concepts"), table(spark, data, "terms"))
+    df = L.found(table(spark, data, "localized_concepts"), table(spark, data, "terms"))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") >= 2
 
 
 def test_found(spark, data):
