@@ -10,8 +10,8 @@ Cells carry a 64-bit fingerprint of the normalised value, not the text, so long
 never travel through a shuffle.
 
 Plan: one shuffle that picks the row that counts of each (snapshot, key), after a map-side
-pre-selection (``max_by`` is a partial aggregate, so a key repeated in a third of all rows
-is reduced before it moves); one shuffle on the key alone, whose partitioning serves both
+pre-selection (each partition sends one row per key, so a key repeated in a third of all
+rows is reduced before it moves); one shuffle on the key alone, whose partitioning serves both
 the cell sums and the per-key classification.  No self-join, no window over a snapshot.
 """
 
@@ -19,34 +19,48 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from glossweave.operators.sheet import first_of
 from glossweave.session import small_rows
 
 PRESENCE = "#key"
 
 #: Code points that leave no mark in a text.
-INVISIBLE = "[\\u00AD\\u034F\\u061C\\u115F\\u1160\\u17B4\\u17B5\\u180B-\\u180E\\u200B-\\u200F\\u202A-\\u202E\\u2060-\\u206F\\uFE00-\\uFE0F\\uFEFF]"
-WHITE = "[\\s\\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
+INVISIBLE_RANGES = [
+    (0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180E), (0x200B, 0x200F),
+    (0x202A, 0x202E), (0x2060, 0x206F), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF),
+]
+INVISIBLE = "".join(chr(cp) for low, high in INVISIBLE_RANGES for cp in range(low, high + 1))
+#: White space other than the blank, and quotes by what they become.
+BLANKS = "\t\n\x0b\f\r\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+DOUBLE_QUOTES = "“”„‟″‶〝〞＂"
+SINGLE_QUOTES = "‘’‚‛′‵‹›`´＇"
 MARKUP_TAG = "</?[A-Za-z][^<>]*>"
-DOUBLE_QUOTES = "(?:«\\s*|\\s*»|[“”„‟″‶〝〞＂])"
-SINGLE_QUOTES = "[‘’‚‛′‵‹›`´＇]"
+
+
+def _blanks(c: Column) -> Column:
+    """Every kind and amount of white space as one blank."""
+    return F.regexp_replace(F.translate(c, BLANKS, " " * len(BLANKS)), " {2,}", " ")
 
 
 def prose(c: Column) -> Column:
-    """A text without tags, invisible characters, letter case, quote style or amount of white space; '' is null."""
-    c = F.regexp_replace(c, INVISIBLE, "")
-    c = F.regexp_replace(c, MARKUP_TAG, "")
-    c = F.regexp_replace(c, WHITE, " ")
-    c = F.regexp_replace(c, DOUBLE_QUOTES, '"')
-    c = F.regexp_replace(c, SINGLE_QUOTES, "'")
-    return F.nullif(F.lower(F.trim(c)), F.lit(""))
+    """A text without tags, invisible characters, letter case, quote style or amount of white space; '' is null.
+
+    One translation does all single characters; a pattern with as many would cost ten times that.
+    """
+    kept = BLANKS + DOUBLE_QUOTES + SINGLE_QUOTES
+    c = F.translate(c, kept + INVISIBLE, " " * len(BLANKS) + '"' * len(DOUBLE_QUOTES) + "'" * len(SINGLE_QUOTES))
+    c = F.regexp_replace(F.regexp_replace(c, MARKUP_TAG, ""), " {2,}", " ")
+    c = F.replace(F.replace(c, F.lit("« "), F.lit("«")), F.lit(" »"), F.lit("»"))
+    return F.nullif(F.lower(F.trim(F.translate(c, "«»", '""'))), F.lit(""))
 
 
 def label(c: Column) -> Column:
     """A short code without letter case and outer blanks; '' is null."""
-    return F.nullif(F.lower(F.trim(F.regexp_replace(c, WHITE, " "))), F.lit(""))
+    return F.nullif(F.lower(F.trim(_blanks(c))), F.lit(""))
 
 
 def instant(c: Column) -> Column:
@@ -54,7 +68,7 @@ def instant(c: Column) -> Column:
 
     A text that is no date keeps its trimmed form, so it still compares; '' is null.
     """
-    c = F.trim(F.regexp_replace(c, WHITE, " "))
+    c = F.trim(_blanks(c))
     zoned = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(c, F.lit("T00:00:00Z"))).when(
         c.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?$") & ~c.rlike(r"[+-]\d{2}:?\d{2}$"), F.concat(c, F.lit("Z"))
     ).otherwise(c)
@@ -85,12 +99,8 @@ def snapshot_changes(
     names = list(fields)
     prints = {f"_h{i}": F.xxhash64(F.coalesce(fields[n](F.col(n)), F.lit(""))) for i, n in enumerate(names)}
     slim = df.select(snapshot, *keys, F.col(version).alias("_version"), *[v.alias(k) for k, v in prints.items()])
-    latest = (
-        slim.groupBy(snapshot, *keys)
-        .agg(F.max(F.struct("_version", *prints)).alias("_row"))
-        .select(snapshot, *keys, *[F.col(f"_row.{h}").alias(h) for h in prints])
-    )
-    placed = _placed(df, latest, snapshot)
+    latest = first_of(slim, [snapshot, *keys], [F.col("_version").desc_nulls_last(), *[F.col(h).desc() for h in prints]])
+    placed = _placed(df, latest.drop("_version"), snapshot)
     cells = F.array(
         F.struct(F.lit(PRESENCE).alias("field"), F.lit(0).cast("long").alias("value")),
         *[F.struct(F.lit(n).alias("field"), F.col(f"_h{i}").alias("value")) for i, n in enumerate(names)],
@@ -118,21 +128,22 @@ def snapshot_changes(
 
 
 def _placed(df: DataFrame, latest: DataFrame, snapshot: str) -> DataFrame:
-    """``latest`` with ``_first`` and ``_next``; the deliveries are listed from the narrow scan of ``df``."""
+    """``latest`` with ``_first`` and ``_next``, by a join with the table of deliveries in their order.
+
+    The deliveries are listed from the narrow scan of ``df``.  The join is hinted only while
+    that list is known to be small.
+    """
     seen = df.select(snapshot).where(F.col(snapshot).isNotNull()).distinct()
-    kind = latest.schema[snapshot].dataType
     rows = small_rows(seen)
     if rows is None:
-        from pyspark.sql import Window
-
         by = Window.orderBy(snapshot)
         order = seen.select(snapshot, F.lead(snapshot).over(by).alias("_next"), F.lag(snapshot).over(by).isNull().alias("_first"))
         return latest.join(order, snapshot)
     numbers = sorted(r[0] for r in rows)
-    pairs = [F.lit(x).cast(kind) for two in zip(numbers, numbers[1:]) for x in two]
-    following = F.try_element_at(F.create_map(*pairs), F.col(snapshot)) if pairs else F.lit(None).cast(kind)
-    first = F.lit(numbers[0] if numbers else None).cast(kind)
-    return latest.where(F.col(snapshot).isNotNull()).withColumns({"_next": following, "_first": F.col(snapshot) == first})
+    kind = df.schema[snapshot].dataType
+    schema = T.StructType([T.StructField(snapshot, kind), T.StructField("_next", kind), T.StructField("_first", T.BooleanType())])
+    order = df.sparkSession.createDataFrame([(x, y, x == numbers[0]) for x, y in zip(numbers, [*numbers[1:], None])], schema)
+    return latest.join(F.broadcast(order), snapshot)
 
 
 def termbase_changes(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from glossweave.operators import figures as fig
 from glossweave.operators import hierarchy as hier
 from glossweave.operators import lookup
 from glossweave.operators import reconcile as rec
-from glossweave.operators.sheet import COLUMNS, as_sheet, filtered, first_wins, primary_rows
+from glossweave.operators.sheet import COLUMNS, as_sheet, filtered, first_of, first_wins, primary_rows
 from glossweave.parsers.attributes import attributes
 from glossweave.parsers.definition import definition_parts
 from glossweave.parsers.markers import markers
@@ -586,8 +586,9 @@ def sides(spark, d):
     last = tb.agg(F.max("snapshot_no")).first()[0]
     rows = tb.where(F.col("snapshot_no") == F.lit(last)).withColumn("_loaded", F.unix_micros("loaded_at"))
     # the row that was loaded last is the record; equal times are decided by content
-    latest = rows.groupBy("code", "language_code").agg(F.max(F.struct("_loaded", "term", "definition", "entry_status")).alias("_r"))
-    old = rec.side(latest.select("code", "language_code", "_r.*"), order="_loaded")
+    slim = rows.select("code", "language_code", "_loaded", "term", "definition", "entry_status")
+    latest = first_of(slim, ["code", "language_code"], [F.col(c).desc_nulls_last() for c in ("_loaded", "term", "definition", "entry_status")])
+    old = rec.side(latest, order="_loaded")
     new = rec.side(table(spark, d, "localized_concepts"), order="l10n_id", notes="notes", examples="examples")
     return old, new
 

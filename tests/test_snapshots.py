@@ -110,9 +110,10 @@ def test_one_snapshot_has_no_changes(spark, data):
     assert termbase_changes(table(spark, data, "termbase").where("snapshot_no = 1")).count() == 0
 
 
-def test_plan_has_no_join_and_two_shuffles_of_rows(spark, data):
+def test_plan_joins_only_the_list_of_deliveries_and_shuffles_rows_twice(spark, data):
     plan = termbase_changes(table(spark, data, "termbase"))._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and plan.count("Exchange") == 2 and "Python" not in plan
+    assert plan.count("Join") == plan.count("BroadcastHashJoin [snapshot_no") == 1 and "LocalTableScan [snapshot_no" in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and "Python" not in plan
 
 
 def test_other_tables(spark):

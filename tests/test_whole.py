@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
+
 from glossweave.functions import labels
 from glossweave.operators import export as ex
 from glossweave.operators import nested
-from glossweave.operators.sheet import COLUMNS, as_sheet
+from glossweave.operators.sheet import COLUMNS, as_sheet, first_wins
 from glossweave.plans import core
 from glossweave.sinks import files
 from glossweave.sources import snapshots
@@ -104,3 +106,21 @@ def test_definitions_with_markup_are_converted(spark, tmp_path):
     df.write.parquet(str(tmp_path / "iev_export.parquet"))
     got = {r.export_id: r.markup for r in core.markup_convert_all(spark, str(tmp_path)).collect()}
     assert got == {i: f"*103-01-01* stem:[x]~1~^2^\n{t}\n" for i, t in enumerate(texts.values())}
+
+
+@pytest.mark.parametrize("name", ["first_wins_pk", "p4_found", "concept_nest"])
+def test_rows_of_a_key_are_cut_before_they_move(spark, data, name):
+    import __spark_entry__ as e
+
+    p = e.queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in p
+    before = p[p.index("Exchange hashpartitioning", p.index("Final")) :]
+    assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_equal_rows_and_ties_of_order(spark):
+    rows = [("a", 1, "y", None), ("a", 1, "x", "z"), ("a", 1, "x", "z"), ("b", None, "late", None), ("b", 7, "first", "u"), (None, 2, "n", "n"), (None, 1, "m", None)]
+    df = spark.createDataFrame(rows, "k string, _ord long, t string, u string")
+    got = {tuple(r) for r in first_wins(df, ["k"]).collect()}
+    assert got == {("a", 1, "x", "z"), ("b", 7, "first", "u"), (None, 1, "m", None)}
+    assert first_wins(df.limit(0), ["k"]).count() == 0
