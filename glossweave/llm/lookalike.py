@@ -122,7 +122,8 @@ def spellings(rows: DataFrame, group: list[str], text: str) -> DataFrame:
     twice by skeleton shares the one exchange, and with it the one pass of Python.
     """
     distinct = rows.groupBy(*group, text).agg(F.count(F.lit(1)).alias("n_rows"))
-    return distinct.withColumn("skeleton", skeleton(rows.sparkSession)(F.col(text))).repartition(*group, "skeleton")
+    marked = distinct.withColumn("skeleton", F.coalesce(skeleton(rows.sparkSession)(F.col(text)), F.lit("")))  # never null: no null test of it is pushed below the distinct
+    return marked.repartition(*group, "skeleton")
 
 
 def lookalike_pairs(rows: DataFrame, row_id: str, group: list[str], text: str) -> DataFrame:
