@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from glossweave.llm import canonical_list, lookalike, mixing, stuffing, tokens
+from glossweave.llm import canonical_list, citation_words, lookalike, mixing, stuffing, tokens
 from glossweave.session import table
 from pyspark.sql import functions as F
 
@@ -17,13 +17,13 @@ def p1_classes(spark, d):
 
 
 def p2_found(spark, d):
-    return canonical_list.found(table(spark, d, "iev_export"), table(spark, d, "publications"))
+    return canonical_list.found(table(spark, d, "iev_export"), table(spark, d, "publications"), citation_words.aliases(spark), citation_words.WORDING)
 
 
 def p2_unmatched(spark, d):
-    """Citations without an entry, with how often each was typed."""
-    rows = canonical_list.resolve_citations(table(spark, d, "iev_export"), table(spark, d, "publications"))
-    return rows.where("ref_id = 0").groupBy("value_text").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Citations without an entry, why, and how often each was typed."""
+    rows = canonical_list.resolve_citations(table(spark, d, "iev_export"), table(spark, d, "publications"), citation_words.aliases(spark), citation_words.WORDING)
+    return rows.where("ref_id = 0").groupBy("value_text", "found_by").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def p6_ids(spark, d):
