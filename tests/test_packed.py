@@ -4,9 +4,22 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from glossweave.operators.packed import FieldParser, citations, split_packed
+from collections import Counter
 
-P = FieldParser()
+from glossweave.operators.packed import FieldParser, Grammar, citations, count_starts, learned_starts, split_packed
+
+SEEN = ["IEC 1:2000", "iec 7, 3.1", "ISO 2 (a; b)", "ISO 9", "IEV 918-01-02", "IEV 918-05-02 MOD", "I.E.V. 918-01-02", "918-05-03", "911-01-04", "911-01-05, modified – note 1, 2 and 3 added",
+        "Internat. Electrotechn. Comm. 5, definition 3.1", "Internat. Electrotechn. Comm. 6", "see IEC 2", "see ISO 3", "voir IEC 2", "voir IEC 3"]
+
+
+def learnt(values):
+    begins, inside = Counter(), Counter()
+    for v in values:
+        count_starts(v, FieldParser(Grammar(starts=frozenset())), begins, inside)
+    return frozenset(k for k, n in begins.items() if k and n >= 2 and n >= inside[k])
+
+
+P = FieldParser(Grammar(starts=learnt(SEEN)))
 
 
 def values(s):
@@ -73,3 +86,16 @@ def test_long_and_deep_fields():
     assert values("(" * 100_000) == ["(" * 100_000] and values("(" * 50_000 + ")" * 50_000 + ";x")[-1] == "x"
     assert len(values("“" * 100_000)) == 1 and len(values('"' * 100_001)) <= 2
     assert len(values("a; " * 100_000)) == 100_000 and values(" " * 200_000) == [] and len(values("," * 50_000 + "IEC 1")) == 1
+
+
+def test_what_begins_a_value_is_learnt_from_the_column(spark):
+    rows = ["red oak", "red ash; white elm", "white fir", "old, grey and tall pine", "red yew, white box and red fig; tall, grey bay", None, " ", "white oak, bark grey"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(rows)], "k int, v string")
+    starts = learned_starts(df, "v")
+    assert {"red", "white"} <= starts and not {"grey", "tall", "oak", "bark"} & starts
+    assert starts == learned_starts(df.repartition(3), "v") == learnt(rows)
+    got = [r.value_text for r in split_packed(df, "v", ["k"]).where("k in (4, 7)").orderBy("k", "pos").collect()]
+    assert got == ["red yew", "white box", "red fig", "tall, grey bay", "white oak, bark grey"]
+    assert learned_starts(df.limit(0), "v") == frozenset()
+    every = split_packed(df, "v", ["k"], Grammar()).where("k = 3").orderBy("pos").collect()
+    assert [r.value_text for r in every] == ["old", "grey", "tall pine"]
