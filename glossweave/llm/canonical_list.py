@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.operators.packed import FieldParser, split_packed
+from glossweave.operators.packed import FieldParser, Grammar, learned_starts, split_packed
 from glossweave.session import cut_lineage, small_rows
 
 #: Entries of the list that one automaton holds; longer lists are matched in blocks.
@@ -362,13 +362,14 @@ def resolve_citations(export: DataFrame, publications: DataFrame, aliases: DataF
     known = () if aliases is None else _bounded(aliases.select("name", "alias").distinct(), "aliases")
     publishers = tuple(r[0] for r in _bounded(publications.select(F.coalesce("publisher", F.lit(""))).distinct(), "publishers"))
     slim = export.where(F.length(F.trim("source")) > 0).select(F.col("export_id").cast("long"), "source")
+    grammar = Grammar(starts=learned_starts(slim, "source"))
     entries = small_rows(publications.select(*ENTRY), BLOCK_ENTRIES)
     if entries is None:
-        return _in_blocks(slim, publications, known, wording, publishers)
+        return _in_blocks(slim, publications, known, wording, publishers, grammar)
     listed = tuple(sorted((tuple(r) for r in entries), key=lambda r: (r[0] is None, r[0])))
 
     def run(batches):
-        parser, (refs, memo) = FieldParser(), _list_of(listed, known, wording, publishers)
+        parser, (refs, memo) = FieldParser(grammar), _list_of(listed, known, wording, publishers)
         for b in batches:
             cols: tuple[list, ...] = ([], [], [], [], [], [])
             for i, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -388,9 +389,9 @@ def resolve_citations(export: DataFrame, publications: DataFrame, aliases: DataF
     return slim.mapInArrow(run, ROW)
 
 
-def _in_blocks(slim: DataFrame, publications: DataFrame, known: tuple, wording: Wording, publishers: tuple) -> DataFrame:
+def _in_blocks(slim: DataFrame, publications: DataFrame, known: tuple, wording: Wording, publishers: tuple, grammar: Grammar) -> DataFrame:
     """The answers of a list of any length: each block meets the distinct citations, then their candidates are decided on."""
-    items = cut_lineage(split_packed(slim, "source", ["export_id"]).select("export_id", "pos", "value_text"))
+    items = cut_lineage(split_packed(slim, "source", ["export_id"], grammar).select("export_id", "pos", "value_text"))
     texts = items.select("value_text").distinct()
     n_entries = publications.count()
     n_bytes = texts.agg(F.sum(F.octet_length("value_text"))).first()[0] or 0
