@@ -48,6 +48,7 @@ SHORT_WORD = 3
 
 YEAR = re.compile(r"^\s*(?:[:,(\-]\s*)?(?:(?:ed\.?|edition|éd\.?)\s*)?((?:19|20)\d{2})(?![\d.]|-\d)")
 YEAR_AFTER_TITLE = re.compile(r"^\W*(?:ed\.?\s*)?((?:19|20)\d{2})\b")
+MISREAD = re.compile(r"[\d.\-][oоli]")
 DASHES = dict.fromkeys(map(ord, "‐‑‒–—―−﹘﹣－"), "-")
 QUOTES = "\"“”«»„‟ \t\n\xa0"
 
@@ -68,8 +69,10 @@ class Wording:
 
 def canon(text: str) -> str:
     """One spelling of a citation: compatible forms, lower case, one kind of dash and space, digits mistaken for letters."""
-    s = unicodedata.normalize("NFKC", text).casefold().translate(DASHES)
+    s = text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold().translate(DASHES)
     s = " ".join(s.split()).strip(QUOTES)
+    if not MISREAD.search(s):
+        return s
     s = re.sub(r"(?<=\d)[oо](?=[\dolо]|\b)", "0", s)
     s = re.sub(r"(?<=\d)[li](?=[\dolо]|\b)|(?<=\.)[li](?=\d{2})|(?<=\d-)[li](?!\w)", "1", s)
     return re.sub(r"(?<=\d)[oо](?=\d|\b)", "0", s)
@@ -237,7 +240,9 @@ class ReferenceList:
         begins = lambda i: not places[i] or not s[places[i] - 1].isalnum()
         names: dict[int, tuple[int, set]] = {}  # place behind the longest name that ends there -> its first place, its publishers
         out = []
-        hits = sorted(self.auto.iter(text), key=lambda h: h[0] - h[1][0])
+        hits = list(self.auto.iter(text))
+        if not hits:
+            return []
         for last, (length, publishers, _, _) in hits:
             first = last - length + 1
             if publishers and begins(first) and (last + 1 not in names or first < names[last + 1][0]):
@@ -304,16 +309,19 @@ class ReferenceList:
         return found or self.similar(s)
 
 
-def decide(candidates: Iterable[tuple]) -> tuple[list[int], float, str]:
+def decide(candidates: Sequence[tuple]) -> tuple[list[int], float, str]:
     """(entries meant, certainty, what found them) of a citation, from the candidates of all lists asked.
 
     The surest kind counts.  Mentions: the longest first, then the leftmost, each that
     overlaps none taken before.  Titles: the most similar.  Works that share a place (or a
     similarity) are ambiguous and mean none, unless only one of them has the edition cited.
     """
-    kind = max((c[0] for c in candidates), default=0)
-    if not kind:
+    if not candidates:
         return [0], 0.0, "none"
+    if len(candidates) == 1:
+        kind, _, _, certainty, ref = candidates[0]
+        return [ref], certainty, FOUND_BY[kind] if ref else "no edition"
+    kind = max(c[0] for c in candidates)
     certainty = max(c[3] for c in candidates if c[0] == kind)
     places: dict[tuple[int, int], set] = defaultdict(set)
     for k, first, length, sure, ref in candidates:
