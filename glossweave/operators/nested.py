@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 from json.decoder import scanstring
 
 import pyarrow as pa
@@ -184,32 +185,35 @@ def _visit(record_id: int, body: str | None) -> Iterator[tuple]:
     if isinstance(shallow.get("tags"), str):
         shallow["tags"] = [shallow["tags"]]
     yield row("record", root, None, "", 0, _text(top.get("id", inner.get("id"))), shallow)
-    for holder in (top, inner):
-        for i, o in enumerate(_objects(holder.get("domains")), 1):
-            yield row("domain", f"{root}/d{i}", root, "", i, _text(o.get("concept_id")), o)
-        for i, o in enumerate(_objects(holder.get("related")), 1):
-            ref = o.get("ref")
-            yield row("related", f"{root}/r{i}", root, "", i, _text(ref.get("id")) if isinstance(ref, dict) else "", o)
-        many = holder.get("localized_concepts")
-        if isinstance(many, dict) and "language_code" not in many:
-            listed = [(k, o) for k, v in many.items() for o in _objects(v)]
-        else:
-            listed = [(None, o) for o in _objects(many)]
-        for n, (key, o) in enumerate(listed, 1):
-            lang = _text(o.get("language_code") or key)
-            pk = f"{root}/l{n}"
-            yield row("localized", pk, root, lang, 0, lang, {k: v for k, v in o.items() if k not in ("terms", "notes", "examples", "sources")})
-            for i, t in enumerate(_objects(o.get("terms")), 1):
-                yield row("term", f"{pk}/t{i}", pk, lang, i, _text(t.get("designation")), t)
-            for tag, field in (("note", "notes"), ("example", "examples")):
-                many_texts = o.get(field)
-                for i, t in enumerate(many_texts if isinstance(many_texts, list) else [] if many_texts is None else [many_texts], 1):
-                    t = t if isinstance(t, dict) else {"content": t}
-                    yield row(tag, f"{pk}/{tag[0]}{i}", pk, lang, i, _text(t.get("content")), t)
-            for i, s in enumerate(_objects(o.get("sources")), 1):
-                origin = s.get("origin")
-                ref = origin.get("ref") if isinstance(origin, dict) else None
-                yield row("source", f"{pk}/s{i}", pk, lang, i, _text(ref.get("id")) if isinstance(ref, dict) else "", s)
+    # a record may hold its children on both levels: they are numbered through
+    both = lambda field: (holder.get(field) for holder in (top, inner))
+    for i, o in enumerate((o for x in both("domains") for o in _objects(x)), 1):
+        yield row("domain", f"{root}/d{i}", root, "", i, _text(o.get("concept_id")), o)
+    for i, o in enumerate((o for x in both("related") for o in _objects(x)), 1):
+        ref = o.get("ref")
+        yield row("related", f"{root}/r{i}", root, "", i, _text(ref.get("id")) if isinstance(ref, dict) else "", o)
+    for n, (key, o) in enumerate((lo for x in both("localized_concepts") for lo in _localizations(x)), 1):
+        lang = _text(o.get("language_code") or key)
+        pk = f"{root}/l{n}"
+        yield row("localized", pk, root, lang, 0, lang, {k: v for k, v in o.items() if k not in ("terms", "notes", "examples", "sources")})
+        for i, t in enumerate(_objects(o.get("terms")), 1):
+            yield row("term", f"{pk}/t{i}", pk, lang, i, _text(t.get("designation")), t)
+        for tag, field in (("note", "notes"), ("example", "examples")):
+            many_texts = o.get(field)
+            for i, t in enumerate(many_texts if isinstance(many_texts, list) else [] if many_texts is None else [many_texts], 1):
+                t = t if isinstance(t, dict) else {"content": t}
+                yield row(tag, f"{pk}/{tag[0]}{i}", pk, lang, i, _text(t.get("content")), t)
+        for i, x in enumerate(_objects(o.get("sources")), 1):
+            origin = x.get("origin")
+            ref = origin.get("ref") if isinstance(origin, dict) else None
+            yield row("source", f"{pk}/s{i}", pk, lang, i, _text(ref.get("id")) if isinstance(ref, dict) else "", x)
+
+
+def _localizations(many) -> list[tuple[str | None, dict]]:
+    """(key, object) of localized concepts, which are a map by language, a list, or a single one."""
+    if isinstance(many, dict) and "language_code" not in many:
+        return [(k, o) for k, v in many.items() for o in _objects(v)]
+    return [(None, o) for o in _objects(many)]
 
 
 _ARROW = pa.schema(
@@ -240,6 +244,20 @@ def write_tables(df: DataFrame, path: str, **names) -> None:
     tagged_rows(df, **names).write.mode("overwrite").partitionBy("tag").parquet(path)
 
 
+def table_sizes(df: DataFrame, path: str, **names) -> DataFrame:
+    """``(tag, n_rows, n_records, n_orphans)`` of the tables written under ``path`` and read again by their schemas.
+
+    An orphan is a row whose parent is in no table; there are none.
+    """
+    write_tables(df, path, **names)
+    spark = df.sparkSession
+    links = reduce(DataFrame.unionByName, [read_flat(spark, path, t).select(F.lit(t).alias("tag"), "pk", "parent_pk", "record_id") for t in PAYLOAD])
+    parents = links.where(F.col("tag").isin("record", "localized")).select(F.col("pk").alias("_parent")).distinct()
+    found = links.join(parents, links["parent_pk"] == parents["_parent"], "left")
+    orphan = F.col("parent_pk").isNotNull() & F.col("_parent").isNull()
+    return found.groupBy("tag").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("record_id").alias("n_records"), F.count_if(orphan).alias("n_orphans"))
+
+
 def read_flat(spark: SparkSession, path: str, tag: str) -> DataFrame:
     """One flat table of ``write_tables``: the links, and the payload's fields by the tag's schema."""
     return flat(spark.read.parquet(path), tag)
@@ -255,5 +273,5 @@ def flat(tagged: DataFrame, tag: str) -> DataFrame:
 
 def child_objects(df: DataFrame) -> DataFrame:
     """Domains, localized concepts and terms as ``(record_id, kind, lang, pos, item)``."""
-    rows = tagged_rows(df, tags=("domain", "localized", "term"), payload=False)
+    rows = tagged_rows(df).where(F.col("tag").isin("domain", "localized", "term"))
     return rows.select("record_id", F.col("tag").alias("kind"), "lang", "pos", "item")

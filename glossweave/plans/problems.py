@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from glossweave.operators.nested import child_objects, flat, tagged_rows
+from uuid import uuid4
+
+from glossweave.operators.nested import child_objects, flat, table_sizes, tagged_rows
 from glossweave.operators.packed import citations, split_packed
 from glossweave.operators.snapshots import termbase_changes
-from glossweave.session import table
+from glossweave.session import shared_dir, table
 from pyspark.sql import functions as F
 
 
@@ -20,8 +22,8 @@ def p3_terms(spark, d):
 
 
 def p3_table_sizes(spark, d):
-    rows = tagged_rows(table(spark, d, "concept_yaml"), payload=False)
-    return rows.groupBy("tag").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("record_id").alias("n_records"))
+    """All tables, written partitioned by tag into the shared folder and read again."""
+    return table_sizes(table(spark, d, "concept_yaml"), f"{shared_dir(spark)}/nested-{uuid4()}")
 
 
 def p4_found(spark, d):
@@ -76,19 +78,21 @@ WITH latest AS (
 )
 """
 
-_P3_BASE = """
+_LIST = "CASE json_type({0}, '$.{1}') WHEN 'ARRAY' THEN list_filter(CAST(json_extract({0}, '$.{1}') AS JSON[]), lambda x: json_type(x) = 'OBJECT') WHEN 'OBJECT' THEN [json_extract({0}, '$.{1}')] ELSE [] END"
+_TEXTS = "CASE coalesce(json_type({0}, '$.{1}'), 'NULL') WHEN 'ARRAY' THEN json_array_length({0}, '$.{1}') WHEN 'NULL' THEN 0 ELSE 1 END"
+_P3_BASE = f"""
 WITH whole AS (
   SELECT record_id, CAST(body AS JSON) AS j FROM concept_yaml WHERE json_valid(body)
 ), halves AS (
-  SELECT record_id, j AS h FROM whole UNION ALL SELECT record_id, json_extract(j, '$.data') FROM whole WHERE json_type(j, '$.data') = 'OBJECT'
+  SELECT record_id, 0 AS half, j AS h FROM whole UNION ALL SELECT record_id, 1, json_extract(j, '$.data') FROM whole WHERE json_type(j, '$.data') = 'OBJECT'
 ), domains AS (
-  SELECT record_id, CASE json_type(h, '$.domains') WHEN 'ARRAY' THEN CAST(json_extract(h, '$.domains') AS JSON[]) WHEN 'OBJECT' THEN [json_extract(h, '$.domains')] ELSE [] END AS a FROM halves
-), langs AS (
-  SELECT record_id, unnest(CASE json_type(h, '$.localized_concepts')
+  SELECT record_id, list_filter(flatten(list({_LIST.format("h", "domains")} ORDER BY half)), lambda x: true) AS a FROM halves GROUP BY 1
+), listed AS (
+  SELECT record_id, flatten(list(CASE json_type(h, '$.localized_concepts')
      WHEN 'ARRAY' THEN CAST(json_extract(h, '$.localized_concepts') AS JSON[])
-     WHEN 'OBJECT' THEN json_extract(h, '$.localized_concepts.*') ELSE [] END) AS l FROM halves
+     WHEN 'OBJECT' THEN json_extract(h, '$.localized_concepts.*') ELSE [] END ORDER BY half)) AS many FROM halves GROUP BY 1
 ), named AS (
-  SELECT record_id, json_extract_string(l, '$.language_code') AS lang, CASE json_type(l, '$.terms') WHEN 'ARRAY' THEN CAST(json_extract(l, '$.terms') AS JSON[]) WHEN 'OBJECT' THEN [json_extract(l, '$.terms')] ELSE [] END AS t FROM langs
+  SELECT record_id, n, many[n] AS l, json_extract_string(many[n], '$.language_code') AS lang, {_LIST.format("many[n]", "terms")} AS t FROM (SELECT *, unnest(range(1, len(many) + 1)) AS n FROM listed)
 )
 """
 
@@ -98,6 +102,22 @@ ORACLE = {
 SELECT record_id, 'domain' AS kind, '' AS lang, CAST(i AS INTEGER) AS pos, coalesce(json_extract_string(a[i], '$.concept_id'), '') AS item FROM (SELECT record_id, a, unnest(range(1, len(a) + 1)) AS i FROM domains)
 UNION ALL SELECT record_id, 'localized', lang, 0, lang FROM named
 UNION ALL SELECT record_id, 'term', lang, CAST(i AS INTEGER), coalesce(json_extract_string(t[i], '$.designation'), '') FROM (SELECT record_id, lang, t, unnest(range(1, len(t) + 1)) AS i FROM named)
+""",
+    "p3_terms": _P3_BASE
+    + """
+SELECT record_id || '/l' || n || '/t' || i AS pk, record_id || '/l' || n AS parent_pk, record_id, lang AS record_lang, CAST(i AS INTEGER) AS pos, json_extract_string(t[i], '$.type') AS type,
+  json_extract_string(t[i], '$.designation') AS designation, json_extract_string(t[i], '$.normative_status') AS normative_status, json_extract_string(t[i], '$.usage_info') AS usage_info
+FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM named)
+""",
+    "p3_table_sizes": _P3_BASE
+    + f"""
+, sizes AS (
+  SELECT record_id, 'record' AS tag, 1 AS n FROM whole UNION ALL SELECT record_id, 'domain', len(a) FROM domains
+  UNION ALL SELECT record_id, 'related', len({_LIST.format("h", "related")}) FROM halves
+  UNION ALL SELECT record_id, 'localized', 1 FROM named UNION ALL SELECT record_id, 'term', len(t) FROM named
+  UNION ALL SELECT record_id, 'note', {_TEXTS.format("l", "notes")} FROM named UNION ALL SELECT record_id, 'example', {_TEXTS.format("l", "examples")} FROM named
+  UNION ALL SELECT record_id, 'source', len({_LIST.format("l", "sources")}) FROM named
+) SELECT tag, CAST(sum(n) AS BIGINT) AS n_rows, count(DISTINCT record_id) AS n_records, CAST(0 AS BIGINT) AS n_orphans FROM sizes WHERE n > 0 GROUP BY 1
 """,
     "p4_found": _P4_BASE + "SELECT snapshot_no, code, language_code, change_kind FROM changes",
     "p4_changed_fields": _P4_BASE + "SELECT snapshot_no, change_kind, changed_fields, count(*) AS n_records FROM changes GROUP BY 1, 2, 3",

@@ -2,7 +2,7 @@
 
 import json
 
-from glossweave.operators.nested import PAYLOAD, child_objects, flat, read_flat, tagged_rows, visit, write_tables
+from glossweave.operators.nested import PAYLOAD, child_objects, flat, read_flat, table_sizes, tagged_rows, visit, write_tables
 from glossweave.session import table
 
 CONCEPT = {
@@ -73,3 +73,20 @@ def test_payload_round_trip(spark, data):
 def test_plan_is_one_pass(spark, data):
     plan = child_objects(table(spark, data, "concept_yaml"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_children_on_both_levels_keep_keys_of_their_own(spark, tmp_path):
+    one = {"domains": {"concept_id": "a"}, "related": [{"ref": {"id": "r"}}], "localized_concepts": {"eng": {"language_code": "eng", "terms": [{"designation": "x"}], "notes": "n"}}}
+    both = json.dumps({**one, "data": {**one, "domains": [{"concept_id": "b"}]}})
+    got = list(visit(1, both))
+    keys = [(r[0], r[1]) for r in got]
+    assert len(set(keys)) == len(keys) and [r[6] for r in got if r[0] == "domain"] == ["a", "b"]
+    parents = {r[1] for r in got}
+    assert all(r[2] in parents for r in got if r[2] is not None) and {r[2] for r in got if r[0] == "term"} == {"1/l1", "1/l2"}
+    sizes = {r.tag: (r.n_rows, r.n_records, r.n_orphans) for r in table_sizes(rows(spark, [both, json.dumps(CONCEPT), None]), str(tmp_path / "t")).collect()}
+    assert sizes["domain"] == (3, 2, 0) and sizes["term"] == (6, 2, 0) and sizes["record"] == (2, 2, 0) and sizes["source"] == (1, 1, 0)
+
+
+def test_keys_are_unique(spark, data):
+    every = tagged_rows(table(spark, data, "concept_yaml"))
+    assert every.count() == every.select("tag", "pk").distinct().count()
