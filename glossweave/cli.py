@@ -26,6 +26,9 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--only-concepts", help="LIKE pattern of codes")
     e.add_argument("--only-languages", help="comma-separated languages")
     e.add_argument("--no-areas", action="store_true", help="leave the area and section concepts out")
+    e.add_argument("--strict", action="store_true", help="stop at the first row that can't be exported")
+    e.add_argument("--packed", action="store_true", help="documents as datasets of names and bodies instead of a file each")
+    e.add_argument("--explain", action="store_true", help="print the plan of the concepts")
     d = sub.add_parser("xlsx2db", help="sheet to a SQLite file")
     d.add_argument("file")
     d.add_argument("-o", "--output", required=True)
@@ -43,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("pages")
     c.add_argument("-o", "--output", required=True)
     c.add_argument("--detected-at", default=time.strftime("%Y-%m-%d"))
+    c.add_argument("--packed", action="store_true", help="documents and changes as datasets instead of a file each")
     return p
 
 
@@ -62,14 +66,18 @@ def page_side(pages):
 
 
 def termbase_side(rows):
-    """Termbase rows as a side."""
+    """Termbase rows as a side, with the designations that are left of their terms without markers."""
     from pyspark.sql import functions as F
 
     from glossweave.functions.labels import termbase_status
-
-    return rows.select(
-        "code", "language", F.col("lang_no").alias("_ord"), termbase_status(F.col("entry_status")).alias("status"), F.col("terms.designation").alias("designations"),
-        F.nullif("definition", F.lit("")).alias("definition"), "notes", "examples",
+    from glossweave.sources.snapshots import merged_terms
+
+    term = F.struct("term_no", "designation")
+    terms = merged_terms(rows).groupBy("code", "language", "_ord").agg(F.array_sort(F.collect_list(term)).alias("_terms"))
+    named = rows.join(terms, ["code", "language", "_ord"], "left")
+    return named.select(
+        "code", "language", F.col("lang_no").alias("_ord"), termbase_status(F.col("entry_status")).alias("status"),
+        F.coalesce("_terms.designation", F.array().cast("array<string>")).alias("designations"), F.nullif("definition", F.lit("")).alias("definition"), "notes", "examples",
     )
 
 
@@ -91,15 +99,22 @@ def main(argv: list[str] | None = None) -> int:
         except ValueError as x:
             print(x, file=sys.stderr)
             return 1
-        made = export(sheet, dimensions.subject_areas(spark, args.areas), language_dimension(spark), only_concepts=args.only_concepts, only_languages=args.only_languages, include_areas=not args.no_areas)
+        made = export(sheet, dimensions.subject_areas(spark, args.areas), language_dimension(spark), only_concepts=args.only_concepts, only_languages=args.only_languages, include_areas=not args.no_areas, strict=args.strict)
+        if args.explain:
+            from glossweave.session import plan_text
+
+            print(plan_text(made.concepts))
         Path(args.output).mkdir(parents=True, exist_ok=True)
-        files.write_concepts(made.concepts, args.output)
-        files.write_documents(made.hierarchy.withColumns({"_n": made.hierarchy["concept_id"]}).selectExpr("concat('concept-', concept_id, '.yaml') AS name", "struct(concept_id, kind, domains, tags, term, language, domain, related) AS value"), "name", "value", f"{args.output}/concepts")
-        files.write_figures(made.figures, args.output)
+        files.write_concepts(made.concepts, args.output, args.packed)
+        files.write_documents(made.hierarchy.withColumns({"_n": made.hierarchy["concept_id"]}).selectExpr("concat('concept-', concept_id, '.yaml') AS name", "struct(concept_id, kind, domains, tags, term, language, domain, related) AS value"), "name", "value", f"{args.output}/{'areas' if args.packed else 'concepts'}", args.packed)
+        files.write_figures(made.figures, args.output, args.packed)
         works = files.write_list(made.bibliography, f"{args.output}/bibliography.yaml")
         files.write_register(made.register, f"{args.output}/register.yaml")
         numbers = made.stats.first()
-        print(f"{numbers.concept_count} concepts, {numbers.localized_count} localizations, {works} works, {elapsed(time.monotonic() - began)}")
+        aside = made.quarantine.groupBy("error").count().orderBy("error").collect()  # one row per kind of error
+        for row in aside:
+            print(f"{row['count']} rows set aside: {row.error}", file=sys.stderr)
+        print(f"{numbers.concept_count} concepts, {numbers.localized_count} localizations, {numbers.figure_count} figures, {works} works, {elapsed(time.monotonic() - began)}")
     elif args.command == "xlsx2db":
         print(files.write_sqlite(dispatch.load_sheet(spark, args.file), args.output), "rows")
     elif args.command == "reparse":
@@ -115,7 +130,9 @@ def main(argv: list[str] | None = None) -> int:
             for row in tree.toLocalIterator():
                 print(files.dump([files.compact(row.asDict(recursive=True))]), end="")
     elif args.command == "fetch":
-        rows = snapshots.read_concepts(spark, args.folder).where(f"code = '{args.code.replace(chr(39), '')}'").collect()
+        from pyspark.sql import functions as F
+
+        rows = snapshots.read_concepts(spark, args.folder).where(F.col("code") == F.lit(args.code)).collect()
         if not rows:
             print(f"no concept {args.code}", file=sys.stderr)
             return 1
@@ -123,12 +140,15 @@ def main(argv: list[str] | None = None) -> int:
             print("---\n" + files.dump(files.compact(row.asDict(recursive=True))), end="")
     elif args.command == "reconcile":
         from glossweave.operators.reconcile import change_rows, reconcile
+        from glossweave.session import cut_lineage
 
-        old, new = termbase_side(snapshots.read_termbase(spark, args.termbase)), page_side(snapshots.read_pages(spark, args.pages))
-        both = reconcile(old, new, args.detected_at)
+        termbase = snapshots.read_termbase(spark, args.termbase)
+        old, new = termbase_side(termbase), page_side(snapshots.read_pages(spark, args.pages))
+        # every report reads it: made once
+        both = cut_lineage(reconcile(old, new, args.detected_at, snapshots.concept_dates(termbase)))
         Path(args.output).mkdir(parents=True, exist_ok=True)
-        files.write_documents(both.where("size(localized) > 0").selectExpr("concat(code, '.yaml') AS name", "struct(code, status, dates, localized) AS value"), "name", "value", f"{args.output}/concepts")
-        files.write_reports(both, change_rows(both, args.detected_at), args.output)
+        files.write_documents(both.where("size(localized) > 0").selectExpr("concat(code, '.yaml') AS name", "struct(code, status, dates, localized) AS value"), "name", "value", f"{args.output}/concepts", args.packed)
+        files.write_reports(both, change_rows(both, args.detected_at), args.output, single_file=not args.packed)
         print(elapsed(time.monotonic() - began))
     return 0
 

@@ -92,15 +92,19 @@ def language_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([r for r in rows if r[0] not in superseded], "alpha2 string, alpha3 string, eng string, fra string, deu string")
 
 
-def three_letter(df: DataFrame, column: str, languages: DataFrame, out: str = "language", strict: bool = False) -> DataFrame:
+def three_letter(df: DataFrame, column: str, languages: DataFrame, out: str = "language", strict: bool = False, keep: bool = True) -> DataFrame:
     """``df`` with the three-letter code of a language cell.
 
-    A cell longer than two characters is looked up by the text before its first space.
-    Strict: a miss is null in ``out``, for the caller to quarantine.  Otherwise three letters
-    stay as they are and unknown codes stay unchanged.
+    A cell longer than two characters is looked up by the text before its first space; the
+    three-letter codes of ``languages`` stand for themselves, but not if ``strict``.  A cell
+    that is no language stays as it is if ``keep``, else it is null in ``out``, for the
+    caller to quarantine; strict keeps none.  The join carries no hint: Spark broadcasts the
+    dimension while its measured size allows it.
     """
     key = F.when(F.length(column) > 2, F.split(F.col(column), " ").getItem(0)).otherwise(F.col(column))
-    names = F.broadcast(languages.select(F.col("alpha2").alias("_alpha2"), F.col("alpha3").alias("_alpha3")))
-    joined = df.withColumn("_key", key).join(names, F.col("_key") == F.col("_alpha2"), "left")
-    value = F.col("_alpha3") if strict else F.coalesce("_alpha3", column)
-    return joined.withColumn(out, value).drop("_key", "_alpha2", "_alpha3")
+    names = languages.select(F.col("alpha2").alias("_name"), F.col("alpha3").alias("_alpha3"))
+    if not strict:
+        names = names.unionByName(languages.select(F.col("alpha3").alias("_name"), F.col("alpha3").alias("_alpha3"))).distinct()
+    joined = df.withColumn("_key", key).join(names, F.col("_key") == F.col("_name"), "left")
+    value = F.coalesce("_alpha3", column) if keep and not strict else F.col("_alpha3")
+    return joined.withColumn(out, value).drop("_key", "_name", "_alpha3")

@@ -102,16 +102,17 @@ def link_names(sheet: DataFrame, every: DataFrame, languages: DataFrame) -> Data
     return found.groupBy("IEVREF", "LANGUAGE").agg(F.map_from_entries(F.collect_list(F.struct("_code", "_name"))).alias("_names"))
 
 
-def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame, names: DataFrame | None = None) -> DataFrame:
+def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame, names: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """One localized concept per sheet row; links without a name of their own get theirs from ``names`` (of ``link_names``).
 
     ``error`` names what a strict export would stop at (unknown language, missing status, an
     impossible date) and is null otherwise; such rows are kept for the caller to quarantine.
+    Their language is the cell as it is if it is unknown.  ``strict`` takes two-letter languages only.
     """
     none = F.lit(None).cast("map<string,string>")
     # on the sheet's own cells: it is already spread by them
     known_names = sheet.withColumn("_names", none) if names is None else sheet.join(names, ["IEVREF", "LANGUAGE"], "left")
-    rows = three_letter(clean(known_names, "_names"), "LANGUAGE", languages, "language")
+    rows = three_letter(clean(known_names, "_names"), "LANGUAGE", languages, "_known", strict, keep=False).withColumn("language", F.coalesce("_known", "LANGUAGE"))
     rows = domain_title(with_titles(rows, "IEVREF", sections)).withColumn("_area", F.coalesce(F.substring("IEVREF", 1, 3), F.lit(""))).withColumn("_cell", F.col("SOURCE"))
     rows = rows.join(cell_sources(rows), ["_area", "_cell"], "left")
     rows = rows.withColumns(
@@ -151,8 +152,7 @@ def localized(sheet: DataFrame, sections: DataFrame, languages: DataFrame, names
     symbol = F.when(F.col("SYMBOLE").isNotNull(), F.array(symbol_designation(F.col("_symbol")))).otherwise(F.slice(F.array(symbol_designation(F.col("_symbol"))), 1, 0))
     terms = F.concat(F.array(expression_designation(F.col("_term"), F.col("_attrs"), F.lit("preferred"))), *synonyms, symbol)
     dated = lambda kind: F.struct(F.lit(kind).alias("type"), F.col("_date").alias("date"))
-    known = F.length("language") == 3
-    error = F.when(~known, F.lit("unknown language")).when(F.col("STATUS").isNull(), "no status").when(F.col("PUBLICATIONDATE").isNotNull() & F.col("_date").isNull(), "impossible date")
+    error = F.when(F.col("_known").isNull(), F.lit("unknown language")).when(F.col("STATUS").isNull(), "no status").when(F.col("PUBLICATIONDATE").isNotNull() & F.col("_date").isNull(), "impossible date")
     return rows.select(
         "_ord",
         F.col("IEVREF").alias("code"),
@@ -202,14 +202,33 @@ def concepts(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_tags(nested: DataFrame, sections: DataFrame) -> DataFrame:
+    """Concepts with ``tags``: the titles of their area and section, as far as there are any."""
+    tags = F.array_compact(F.array("area_title", "section_title"))
+    return with_titles(nested, "code", sections).withColumn("tags", tags).drop("area_title", "section_title")
+
+
 def section_children(rows: DataFrame) -> DataFrame:
-    """``section_code, children``: the codes of each section in string order.
+    """``section_code, code``: the codes of each section, each once.
 
-    Pre-aggregated to distinct codes, so a section of many languages is small; the list of a
-    section is its result row.
+    Rows, not lists: a section of any size is as many rows.  ``with_narrower`` makes the list
+    that a section's document holds.
     """
-    codes = rows.select("code").distinct().where(section_code(F.col("code")).isNotNull())
-    return codes.groupBy(section_code(F.col("code")).alias("section_code")).agg(F.sort_array(F.collect_list("code")).alias("children"))
+    return rows.select(section_code(F.col("code")).alias("section_code"), "code").where("section_code is not null").distinct()
+
+
+def with_narrower(tree: DataFrame, children: DataFrame) -> DataFrame:
+    """Hierarchy concepts with the codes of ``section_children`` as narrower ones of their section, in string order."""
+    below = children.groupBy(section_uri(F.col("section_code")).alias("_id")).agg(F.sort_array(F.collect_list("code")).alias("_codes"))
+    narrower = F.transform("_codes", lambda c: F.struct(F.lit("narrower").alias("type"), F.struct(F.lit("IEV").alias("source"), c.alias("id")).alias("ref")))
+    joined = tree.join(below, F.col("concept_id") == F.col("_id"), "left")
+    return joined.withColumn("related", F.when(F.col("_codes").isNull(), F.col("related")).otherwise(F.concat("related", narrower))).drop("_id", "_codes")
+
+
+def source_rows(rows: DataFrame) -> DataFrame:
+    """``_ord, pos, source, id``: the works that localized concepts cite."""
+    each = rows.select("_ord", F.posexplode("sources").alias("pos", "_s"))
+    return each.select("_ord", "pos", F.col("_s.origin.ref.source").alias("source"), F.col("_s.origin.ref.id").alias("id"))
 
 
 def references(rows: DataFrame, text: str) -> DataFrame:
@@ -238,37 +257,57 @@ class Exported:
     hierarchy: DataFrame
     figures: DataFrame
     figure_references: DataFrame
+    section_children: DataFrame
     bibliography: DataFrame
     register: DataFrame
     stats: DataFrame
 
 
 def export(
-    sheet: DataFrame, sections: DataFrame, languages: DataFrame, *, only_concepts: str | None = None, only_languages: str | None = None, include_areas: bool = True
-) -> Exported:
-    """The whole pipeline from sheet rows; filters act on rows, the hierarchy is always whole."""
+    sheet: DataFrame, sections: DataFrame, languages: DataFrame, *, only_concepts: str | None = None, only_languages: str | None = None, include_areas: bool = True,
+    strict: bool = False, links: DataFrame | None = None,
+) -> Exported:
+    """The whole pipeline from sheet rows; filters act on rows, the hierarchy is always whole.
+
+    Rows that can't be exported are set aside with their ``error``.  ``strict`` takes no
+    three-letter languages and stops at the first such row instead.  ``links`` (``reference,
+    link``) is an optional table for the bibliography.
+    """
     from glossweave.operators.bibliography import bibliography
 
     chosen = first_wins(filtered(sheet, only_concepts, only_languages), ["IEVREF", "LANGUAGE"])
-    every = localized(chosen, sections, languages, link_names(chosen, sheet, languages))
+    every = localized(chosen, sections, languages, link_names(chosen, sheet, languages), strict)
+    if strict:
+        stop = F.raise_error(F.concat(F.lit("row "), F.col("_ord").cast("string"), F.lit(", "), F.coalesce("code", F.lit("no code")), F.lit(": "), F.col("error")))
+        every = every.withColumn("error", F.when(F.col("error").isNotNull(), stop.cast("string")))
     drawn = every.where("error is null")
     hits = figure_hits(drawn)
     good = with_references(drawn)
-    nested = concepts(good.drop("error"))
-    tree = hierarchy_concepts(sections)
+    nested = with_tags(concepts(good.drop("error")), sections)
+    children = section_children(good)
+    tree = hierarchy_concepts(sections) if include_areas else hierarchy_concepts(sections).where("false")
     figures = figure_entities(hits)
-    stats = nested.agg(F.count(F.lit(1)).alias("concept_count"), F.coalesce(F.sum(F.size("languages")), F.lit(0)).alias("localized_count"))
     return Exported(
         localized=good,
         quarantine=every.where("error is not null"),
         concepts=nested,
-        hierarchy=tree if include_areas else tree.where("false"),
+        hierarchy=with_narrower(tree, children),
         figures=figures,
         figure_references=figure_references(hits),
-        bibliography=bibliography(citation_rows(chosen, ["_ord", "IEVREF"])),
+        section_children=children,
+        bibliography=bibliography(source_rows(good), links),
         register=section_tree(sections),
-        stats=stats,
+        stats=counted(nested, tree, figures),
     )
 
 
+def counted(nested: DataFrame, tree: DataFrame, figures: DataFrame) -> DataFrame:
+    """One row: ``concept_count, localized_count, figure_count``; areas and sections count as concepts of one localization."""
+    of = lambda df, concepts, texts, figs: df.select(concepts.cast("long").alias("c"), texts.cast("long").alias("l"), figs.cast("long").alias("f"))
+    one, none = F.lit(1), F.lit(0)
+    every = of(nested, one, F.size("languages"), none).unionByName(of(tree, one, one, none)).unionByName(of(figures, none, none, one))
+    total = lambda c: F.coalesce(F.sum(c), none.cast("long"))
+    return every.agg(total("c").alias("concept_count"), total("l").alias("localized_count"), total("f").alias("figure_count"))
+
+
 __all__ = ["Exported", "area_code", "cell_sources", "citation_rows", "clean", "concepts", "export", "localized", "references", "section_children"]

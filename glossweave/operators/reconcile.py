@@ -39,6 +39,12 @@ def side(df: DataFrame, *, order: str, code="code", language="language_code", st
     return first_wins(rows.where("code is not null and language is not null"), ["code", "language"])
 
 
+def rejected(df: DataFrame, code: str = "code", language: str = "language_code") -> DataFrame:
+    """The rows of ``df`` that no side can hold, as they are, with their ``error``; the others are reconciled all the same."""
+    error = F.when(F.col(code).isNull(), "no code").when(F.col(language).isNull(), "no language")
+    return df.withColumn("error", error).where("error is not null")
+
+
 def _met(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row per code of either side: which sides have it, its statuses, and its languages with both contents."""
 
@@ -80,7 +86,7 @@ def _field_changes(e: Column) -> Column:
     )
 
 
-def reconcile(old: DataFrame, new: DataFrame, detected_at: str) -> DataFrame:
+def reconcile(old: DataFrame, new: DataFrame, detected_at: str, dates: DataFrame | None = None) -> DataFrame:
     """``code, origin, status, dates, localized, changes``, one row per code of either side.
 
     * In both: the old status and dates stay (plus ``amended`` if anything changed); each
@@ -91,6 +97,7 @@ def reconcile(old: DataFrame, new: DataFrame, detected_at: str) -> DataFrame:
       says so has ``retired`` on both sides (kept for parity: it is read after it is set).
     * Only in the new side: unchanged, no change rows.
     * Languages that the new side lacks are kept and not reported.
+    * ``dates`` (``code, dates``) are those that the old side's concepts have already.
     """
     met = _met(old, new)
     both = F.col("in_old") & F.col("in_new")
@@ -121,11 +128,16 @@ def reconcile(old: DataFrame, new: DataFrame, detected_at: str) -> DataFrame:
 
     dated = lambda kind: F.array(F.struct(F.lit(kind).alias("type"), F.lit(detected_at).alias("date")))
     no_dates = F.array().cast("array<struct<type:string,date:string>>")
+    if dates is not None:
+        earlier = dates.select("code", F.col("dates").alias("_dates")).groupBy("code").agg(F.first("_dates").alias("_dates"))
+        rows = rows.join(earlier, "code", "left").withColumn("_dates", F.coalesce("_dates", no_dates))
+    else:
+        rows = rows.withColumn("_dates", no_dates)
     return rows.select(
         "code",
         F.when(both, "both").when(F.col("in_old"), "termbase_only").otherwise("live_only").alias("origin"),
         F.when(both, F.col("old_status")).when(F.col("in_old"), "retired").otherwise(F.col("new_status")).alias("status"),
-        F.when(both & (F.size("changes") > 0), dated("amended")).when(~both & F.col("in_old"), dated("retired")).otherwise(no_dates).alias("dates"),
+        F.concat("_dates", F.when(both & (F.size("changes") > 0), dated("amended")).when(~both & F.col("in_old"), dated("retired")).otherwise(no_dates)).alias("dates"),
         F.transform("entries", localized).alias("localized"),
         "changes",
     )

@@ -25,10 +25,13 @@ PARTS_OF_SPEECH = {
 PREFIX_WORDS = ("Präfix", "prefix", "préfixe", "접두사", "接頭語", "接尾語")
 BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'"))
 
+#: What angle brackets and closing brackets of a term hold.
 CROSS_REFERENCE = re.compile(r"<[^>]*IEV\s*(\d{3}-\d{2}-\d{2,3})[^>]*>", re.IGNORECASE)
 DOMAIN = re.compile(r"<([^>]+)>")
 USAGE = re.compile(r"\(([^)]+)\)\s*(?=,?\s*(?:[fmnжмс]\b|[fmn]/[fmn]|sg|pl|јд|мн|\Z))", re.IGNORECASE)
 
+#: Separators that taking a marker out leaves behind.
+SEPARATORS = ",; \t\n\r\f\v"
 _I = re.IGNORECASE
 #: Pattern at the end of a term, and the kind of marker in each of its groups, in order.
 PEEL = [
@@ -55,9 +58,8 @@ class Marked:
 
 
 def _lift(text: str, hit: re.Match) -> str:
-    """The text without a hit's first occurrence and the separators this leaves at its ends."""
-    left = re.sub(r"(?m)[,;\s]+$", "", text.replace(hit[0], "", 1)).strip()
-    return re.sub(r"(?m)^[,;\s]+", "", left, count=1).strip()
+    """What stands around a hit, without separators at either end."""
+    return (text[: hit.start()] + text[hit.end() :]).strip(SEPARATORS).strip()
 
 
 def parse(term: str | None) -> Marked:

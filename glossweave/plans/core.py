@@ -26,6 +26,7 @@ from glossweave.parsers.definition import definition_parts
 from glossweave.parsers.markers import markers
 from glossweave.parsers.supersession import superseded
 from glossweave.session import table
+from glossweave.sources import snapshots
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -155,14 +156,14 @@ def definition_split(spark, d):
     return parts.select("_ord", "p.definition", F.array_join("p.examples", "|").alias("examples"), F.array_join("p.notes", "|").alias("notes"))
 
 
-@query("""WITH t AS (SELECT export_id, string_split(definition || chr(10) || 'Note 1 to entry: ' || coalesce(term, 'x') || chr(10) || '  EXAMPLE: ' || coalesce(synonym1, 'y') || chr(10) || 'end', chr(10)) AS lines FROM iev_export WHERE definition IS NOT NULL)
+@query("""WITH t AS (SELECT export_id, string_split(definition || chr(10) || 'Note 1 to entry: ' || coalesce(term, 'x') || chr(10) || '  EXAMPLE: ' || coalesce(synonym1, 'y') || chr(10) || 'end', chr(10)) AS lines FROM iev_export)
 SELECT export_id, trim(array_to_string(list_filter(lines, lambda x: NOT regexp_matches(trim(x), '(?i)^(Note\\s+[0-9]+\\s+to\\s+entry:|Example\\s*:)')), chr(10)), ' ' || chr(9) || chr(10)) AS definition,
- array_to_string([regexp_replace(trim(x), '(?i)^Note\\s+[0-9]+\\s+to\\s+entry:\\s*', '') FOR x IN lines IF regexp_matches(trim(x), '(?i)^Note\\s+[0-9]+\\s+to\\s+entry:')], '|') AS notes,
- array_to_string([regexp_replace(trim(x), '(?i)^Example\\s*:\\s*', '') FOR x IN lines IF regexp_matches(trim(x), '(?i)^Example\\s*:')], '|') AS examples FROM t""")
+ coalesce(array_to_string([regexp_replace(trim(x), '(?i)^Note\\s+[0-9]+\\s+to\\s+entry:\\s*', '') FOR x IN lines IF regexp_matches(trim(x), '(?i)^Note\\s+[0-9]+\\s+to\\s+entry:')], '|'), '') AS notes,
+ coalesce(array_to_string([regexp_replace(trim(x), '(?i)^Example\\s*:\\s*', '') FOR x IN lines IF regexp_matches(trim(x), '(?i)^Example\\s*:')], '|'), '') AS examples FROM t""")
 def note_example_lines(spark, d):
     nl = F.lit("\n")
     typed = F.concat("definition", nl, F.lit("Note 1 to entry: "), F.coalesce("term", F.lit("x")), nl, F.lit("  EXAMPLE: "), F.coalesce("synonym1", F.lit("y")), nl, F.lit("end"))
-    rows = table(spark, d, "iev_export").where("definition is not null").select("export_id", text.note_and_example_lines(typed).alias("p"))
+    rows = table(spark, d, "iev_export").select("export_id", text.note_and_example_lines(typed).alias("p"))
     return rows.select("export_id", "p.definition", F.array_join("p.notes", "|").alias("notes"), F.array_join("p.examples", "|").alias("examples"))
 
 
@@ -180,8 +181,10 @@ def _case(words: dict[str, str], col: str, otherwise: str) -> str:
     return f"CASE {col} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in words.items()) + f" ELSE {otherwise} END"
 
 
-@query(f"""SELECT export_id, {_case(labels.SHEET_STATUS, 'lower(status)', 'NULL')} AS sheet_status, {_case(labels.TERMBASE_STATUS, 'status', "'valid'")} AS termbase_status,
- {_case(labels.CLASSIFICATION, 'synonym1status', "lower(nullif(synonym1status, ''))")} AS classification, {_case(labels.DESIGNATION_STATUS, 'lower(synonym1status)', 'lower(synonym1status)')} AS designation_status FROM iev_export""")
+@query("""SELECT export_id, CASE WHEN lower(status) = 'standard' THEN 'valid' END AS sheet_status,
+ CASE status WHEN 'Draft' THEN 'draft' WHEN 'Not Valid' THEN 'notValid' WHEN 'Superseded' THEN 'superseded' WHEN 'Retired' THEN 'retired' ELSE 'valid' END AS termbase_status,
+ CASE WHEN synonym1status IN ('认可的', 'допустимый', 'admitido') THEN 'admitted' WHEN synonym1status IN ('首选的', 'suositettava', 'suositeltava', 'рекомендуемый', 'preferente') THEN 'preferred' ELSE lower(nullif(synonym1status, '')) END AS classification,
+ CASE WHEN lower(synonym1status) IN ('obsoleto', 'напуштен') THEN 'deprecated' ELSE lower(synonym1status) END AS designation_status FROM iev_export""")
 def status_maps(spark, d):
     s1 = F.col("synonym1status")
     return table(spark, d, "iev_export").select(
@@ -311,9 +314,9 @@ def relations_dedupe(spark, d):
     return nested.select("code", F.array_join(F.transform("related", lambda r: F.concat_ws(":", r["type"], r["id"])), ",").alias("related"))
 
 
-@query(f"SELECT {SECTION} AS section_code, string_agg(code, ',' ORDER BY code) AS children FROM (SELECT DISTINCT code FROM ({SHEET})) GROUP BY 1")
+@query(f"SELECT DISTINCT {SECTION} AS section_code, code FROM ({SHEET})")
 def section_children(spark, d):
-    return ex.section_children(sheet(spark, d).select(F.col("IEVREF").alias("code"))).select("section_code", F.array_join("children", ",").alias("children"))
+    return ex.section_children(sheet(spark, d).select(F.col("IEVREF").alias("code")))
 
 
 @query(f"SELECT count(DISTINCT code) AS n_concepts, count(*) AS n_localized, (SELECT count(*) FROM iev_export) AS n_rows FROM ({PRIMARY})")
@@ -325,21 +328,22 @@ def row_and_localized_counts(spark, d):
 
 
 @query("""SELECT export_id, array_to_string(list_concat([CASE WHEN term = '.....' THEN 'NA' ELSE term END], list_concat(s1, s2)), '|') AS designations, 'preferred' AS first_status, coalesce(lower(synonym1status), '') AS second_status FROM (
-  SELECT *, CASE WHEN coalesce(synonym1, '') = '' THEN [] ELSE regexp_split_to_array(synonym1 || '<br>b', '<[pbr]+>') END AS s1, CASE WHEN coalesce(synonym2, '') = '' THEN [] ELSE [synonym2] END AS s2 FROM iev_export) WHERE term IS NOT NULL""")
+  SELECT *, CASE WHEN coalesce(synonym1, '') = '' THEN [] ELSE regexp_split_to_array(synonym1 || '<br>b', '<[pbr]+>') END AS s1, CASE WHEN coalesce(synonym2, '') = '' THEN [] ELSE [synonym2] END AS s2 FROM iev_export)""")
 def synonym_split(spark, d):
     t = F.when(F.col("term") == ".....", F.lit("NA")).otherwise(F.col("term"))
     # a second designation and the empty ones that don't count are put behind the first synonym
     first = F.when(F.coalesce("synonym1", F.lit("")) != "", F.concat("synonym1", F.lit("<br>b<p><br>")))
     every = F.concat(F.array(t), text.split_synonyms(first), text.split_synonyms(F.col("synonym2")))
-    rows = table(spark, d, "iev_export").where("term is not null")
+    rows = table(spark, d, "iev_export")
     return rows.select("export_id", F.array_join(every, "|").alias("designations"), F.lit("preferred").alias("first_status"), F.coalesce(labels.designation_status(F.lower("synonym1status")), F.lit("")).alias("second_status"))
 
 
 @query("""SELECT export_id, CASE WHEN regexp_matches(termattribute, '\\b[mfn]\\b') THEN regexp_extract(termattribute, '\\b([mfn])\\b', 1) END AS gender,
  CASE WHEN regexp_matches(termattribute, '\\bpl\\b') THEN 'plural' WHEN regexp_matches(termattribute, '\\b[mfn]\\b') THEN 'singular' END AS number,
- CASE WHEN regexp_matches(termattribute, '\\badj\\b') THEN 'adj' END AS part_of_speech, nullif(regexp_extract(termattribute, '<(.*?)>', 1), '') AS usage_info FROM iev_export""")
+ CASE WHEN regexp_matches(termattribute, '\\badj\\b') THEN 'adj' END AS part_of_speech, nullif(regexp_extract(termattribute, '<(.*?)>', 1), '') AS usage_info,
+ nullif(regexp_extract(termattribute, '\\b([A-Z]{2})$', 1), '') AS geographical_area, CAST(NULL AS VARCHAR) AS prefix FROM iev_export""")
 def term_attrs(spark, d):
-    return table(spark, d, "iev_export").select("export_id", attributes(F.col("termattribute")).alias("a")).select("export_id", "a.gender", "a.number", "a.part_of_speech", "a.usage_info")
+    return table(spark, d, "iev_export").select("export_id", attributes(F.col("termattribute")).alias("a")).select("export_id", "a.gender", "a.number", "a.part_of_speech", "a.usage_info", "a.geographical_area", "a.prefix")
 
 
 @query("""SELECT export_id, 'expression' AS type, CASE WHEN term = '.....' THEN 'NA' ELSE term END AS designation, 'preferred' AS normative_status, CASE WHEN coalesce(g, n, p) IS NOT NULL THEN concat_ws('/', coalesce(g, '-'), coalesce(n, '-'), coalesce(p, '-')) END AS grammar, symbole AS symbol, symbole IS NOT NULL AS international FROM (
@@ -710,18 +714,26 @@ def new_concepts(spark, d):
 
 # ---- errors and the whole export --------------------------------------------------------
 
-_ERROR = "CASE WHEN status IS NULL THEN 'no status' END"
+# every seventh concept's language is misspelled: three letters that are none, two that are none, and none at all
+_MISSPELLED = "CASE length(code) + CAST(right(code, 1) AS INTEGER) WHEN 10 THEN 'qqq' WHEN 13 THEN 'xy' WHEN 16 THEN 'whatever' ELSE lang END"
+_ERROR = f"CASE WHEN {_MISSPELLED} <> lang THEN 'unknown language' WHEN status IS NULL THEN 'no status' END"
+_SPELLED_ROWS = f"(SELECT * FROM ({SHEET}) QUALIFY row_number() OVER (PARTITION BY code, {_MISSPELLED} ORDER BY _ord) = 1)"
 
 
-@query(f"SELECT _ord, code, {_ERROR} AS error FROM ({PRIMARY}) WHERE {_ERROR} IS NOT NULL")
+def _misspelled_export(spark, d):
+    rows = sheet(spark, d)
+    lang = F.expr(_MISSPELLED.replace("code", "IEVREF").replace("ELSE lang", "ELSE LANGUAGE"))
+    return ex.export(rows.withColumn("LANGUAGE", lang), table(spark, d, "sections"), labels.language_dimension(spark))
+
+
+@query(f"SELECT _ord, code, {_ERROR} AS error FROM {_SPELLED_ROWS} WHERE {_ERROR} IS NOT NULL")
 def quarantine_split(spark, d):
-    out = ex.export(sheet(spark, d), table(spark, d, "sections"), labels.language_dimension(spark))
-    return out.quarantine.select("_ord", "code", "error")
+    return _misspelled_export(spark, d).quarantine.select("_ord", "code", "error")
 
 
-@query(f"SELECT code, error FROM (SELECT code, min({_ERROR}) AS error FROM ({PRIMARY}) WHERE {_ERROR} IS NOT NULL GROUP BY 1) ORDER BY code LIMIT 10")
+@query(f"SELECT code, error FROM (SELECT code, min({_ERROR}) AS error FROM {_SPELLED_ROWS} WHERE {_ERROR} IS NOT NULL GROUP BY 1) ORDER BY code LIMIT 10")
 def top_errors(spark, d):
-    out = ex.export(sheet(spark, d), table(spark, d, "sections"), labels.language_dimension(spark))
+    out = _misspelled_export(spark, d)
     return out.quarantine.groupBy("code").agg(F.min("error").alias("error")).orderBy("code").limit(10)
 
 
@@ -743,6 +755,73 @@ def export_concepts(spark, d):
     return out.concepts.select("code", "status", F.array_join("languages", ",").alias("languages"), F.size("domains").alias("n_domains"), F.size("related").alias("n_related"))
 
 
+def _export(spark, d):
+    return ex.export(sheet(spark, d), table(spark, d, "sections"), labels.language_dimension(spark))
+
+
+@query(f"""SELECT code, any_value(concat_ws('|', area_title, section_title)) AS tags FROM (SELECT * FROM ({PRIMARY}) WHERE status IS NOT NULL) s
+ LEFT JOIN (SELECT section_code AS sc, section_title FROM sections) x ON x.sc = {SECTION} LEFT JOIN ({DIM_AREA}) a ON a.area_code = {AREA} GROUP BY 1""")
+def export_tags(spark, d):
+    return _export(spark, d).concepts.select("code", F.array_join("tags", "|").alias("tags"))
+
+
+@query(f"""WITH g AS (SELECT DISTINCT code FROM ({PRIMARY}) WHERE status IS NOT NULL),
+ c AS (SELECT 'section-' || {SECTION} AS id, string_agg('narrower:' || code, ',' ORDER BY code) AS below FROM g GROUP BY 1)
+SELECT 'section-' || section_code AS concept_id, concat_ws(',', 'broader:area-' || area_code, below) AS related FROM ({_SECTIONS_OF}) JOIN ({DIM_AREA}) USING (area_code) LEFT JOIN c ON id = 'section-' || section_code""")
+def export_section_narrower(spark, d):
+    rows = _export(spark, d).hierarchy.where("kind = 'section'")
+    return rows.select("concept_id", F.array_join(F.transform("related", lambda r: F.concat_ws(":", r["type"], r["ref"]["id"])), ",").alias("related"))
+
+
+@query(f"""SELECT (SELECT count(*) FROM ({DIM_AREA})) + (SELECT count(*) FROM ({_SECTIONS_OF}) JOIN ({DIM_AREA}) USING (area_code)) + (SELECT count(DISTINCT code) FROM ({PRIMARY}) WHERE status IS NOT NULL) AS concept_count,
+ (SELECT count(*) FROM ({DIM_AREA})) + (SELECT count(*) FROM ({_SECTIONS_OF}) JOIN ({DIM_AREA}) USING (area_code)) + (SELECT count(DISTINCT (code, language)) FROM ({_NAMED})) AS localized_count, CAST(0 AS BIGINT) AS figure_count""")
+def export_stats(spark, d):
+    return _export(spark, d).stats
+
+
+# the same rules on cells whose entities and blanks are cleaned first
+_CLEAN_SOURCE = STRIP % "translate(nfc_normalize(replace(source, '&amp;', '&')), chr(8209) || chr(160) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196) || chr(8197) || chr(8198) || chr(65279), '-' || '        ')"
+
+
+@query(f"""WITH n AS (SELECT * FROM ({_NAMED})) SELECT export_id AS _ord, code, language, CAST(pos AS INTEGER) AS pos, source, id FROM ({_PUBLISHED.replace("FROM iev_export", f"FROM (SELECT export_id, {_CLEAN_SOURCE} AS source FROM iev_export)")}) JOIN (SELECT export_id, code, language FROM n) USING (export_id)""")
+def export_sources(spark, d):
+    out = _export(spark, d)
+    return ex.source_rows(out.localized).join(out.localized.select("_ord", "code", "language"), "_ord").select("_ord", "code", "language", "pos", "source", "id")
+
+
+# ---- the termbase's side ----------------------------------------------------------------
+
+def _termbase_rows(spark, d):
+    """Localized concepts with their terms as a stored termbase has them; every second designation has a marker."""
+    marked = F.when(F.col("term_no") % 2 == 0, F.concat("designation", F.lit(", f"))).otherwise(F.col("designation"))
+    term = F.struct(F.col("term_no"), F.struct(F.col("term_type").alias("type"), marked.alias("designation"), "normative_status", "gender", "plurality", "usage_info").alias("t"))
+    terms = table(spark, d, "terms").groupBy("l10n_id").agg(F.array_sort(F.collect_list(term))["t"].alias("terms"))
+    rows = table(spark, d, "localized_concepts").join(terms, "l10n_id", "left")
+    return rows.withColumns({"_ord": F.col("l10n_id"), "language": F.col("language_code"), "lang_no": F.col("l10n_id")})
+
+
+@query("""SELECT code, language_code AS language, l10n_id AS _ord, CAST(row_number() OVER (PARTITION BY l10n_id ORDER BY term_no) - 1 AS INTEGER) AS term_no, replace(trim(regexp_replace(designation, '\\s+', ' ', 'g')), chr(12288), ' ') AS designation,
+ concat_ws(',', gender, CASE WHEN term_no % 2 = 0 AND designation IS NOT NULL AND gender IS DISTINCT FROM 'feminine' THEN 'feminine' END) AS gender, coalesce(plurality, '') AS number
+ FROM terms JOIN (SELECT l10n_id FROM localized_concepts) USING (l10n_id)""")
+def termbase_terms(spark, d):
+    rows = snapshots.merged_terms(_termbase_rows(spark, d))
+    return rows.select("code", "language", "_ord", "term_no", "designation", F.array_join("gender", ",").alias("gender"), F.array_join("number", ",").alias("number"))
+
+
+@query(f"""SELECT code, {_case(labels.TERMBASE_STATUS, "f.s", "'valid'")} AS status, concat_ws(',', 'accepted=' || f.a, CASE WHEN f.m IS DISTINCT FROM f.a THEN 'amended=' || f.m END) AS dates
+ FROM (SELECT code, arg_min({{'s': entry_status, 'a': date_accepted, 'm': date_amended}}, l10n_id) AS f FROM localized_concepts GROUP BY 1)""")
+def termbase_dates(spark, d):
+    shown = F.array_join(F.transform("dates", lambda x: F.concat_ws("=", x["type"], x["date"])), ",")
+    return snapshots.concept_dates(_termbase_rows(spark, d)).select("code", "status", shown.alias("dates"))
+
+
+@query("SELECT l10n_id, CASE WHEN l10n_id % 5 = 0 THEN 'no code' ELSE 'no language' END AS error FROM localized_concepts WHERE l10n_id % 5 = 0 OR l10n_id % 7 = 0")
+def reconcile_errors(spark, d):
+    """Rows that lost their code or language are set aside, each with what it lacks."""
+    holed = {"code": F.when(F.col("l10n_id") % 5 != 0, F.col("code")), "language_code": F.when(F.col("l10n_id") % 7 != 0, F.col("language_code"))}
+    return rec.rejected(table(spark, d, "localized_concepts").withColumns(holed)).select("l10n_id", "error")
+
+
 _FLAG_TITLES = f"({PRIMARY}) s LEFT JOIN (SELECT section_code AS sc, section_title FROM sections) x ON x.sc = {SECTION} LEFT JOIN ({DIM_AREA}) a ON a.area_code = {AREA}"
 
 

@@ -1,7 +1,7 @@
 """Documents, reports and database files.
 
-Concept documents are written by the executors, one file each; reports and registers are one
-small file, written by the driver from rows whose number is bounded by the caller's data
+Concept documents are written by the executors, packed or one file each; reports and registers
+are one small file, written by the driver from rows whose number is bounded by the caller's data
 model (areas, works of a bibliography page, tallies).
 """
 
@@ -17,6 +17,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StringType
 
 from glossweave.operators.sheet import COLUMNS, first_wins
 
@@ -74,37 +75,51 @@ class DocumentSink(DataSource):
         return DocumentWriter(self.options["path"])
 
 
-def write_documents(rows: DataFrame, name: str, value: str, folder: str) -> None:
-    """One YAML document per row: file ``name`` (a column) with the struct or text of column ``value``."""
-    from pyspark.sql.types import StringType
+def write_documents(rows: DataFrame, name: str, value: str, folder: str, packed: bool = False) -> None:
+    """One document per row: ``name`` (a column) with the struct or text of column ``value``.
 
-    @F.udf(StringType(), useArrow=False)
-    def body(x):
-        return x if isinstance(x, str) else dump(compact(x.asDict(recursive=True)))
+    ``packed`` writes a dataset ``name, body`` with Spark's own writer, wherever its file
+    systems reach; structs become JSON, which is YAML in flow style, without Python.
+    Otherwise each document is a YAML file of its name in ``folder``, which all executors
+    must share.
+    """
+    is_text = rows.schema[value].dataType == StringType()
+    if packed:
+        body = F.col(value) if is_text else F.to_json(F.col(value))
+        rows.select(F.col(name).alias("name"), body.alias("body")).write.mode("overwrite").parquet(folder)
+        return
+
+    @F.udf(StringType(), useArrow=True)
+    def dumped(x):
+        return dump(compact(x.asDict(recursive=True)))
 
     rows.sparkSession.dataSource.register(DocumentSink)
-    rows.select(F.col(name).alias("name"), body(F.col(value)).alias("body")).write.format("documents_in_folder").mode("append").save(folder)
+    body = F.col(value) if is_text else dumped(F.col(value))
+    rows.select(F.col(name).alias("name"), body.alias("body")).write.format("documents_in_folder").mode("append").save(folder)
 
 
-def write_concepts(concepts: DataFrame, folder: str) -> None:
-    """A grouped document per concept under ``concepts/``: the concept, then each of its localizations."""
-    from pyspark.sql.types import StringType
+def write_concepts(concepts: DataFrame, folder: str, packed: bool = False) -> None:
+    """A grouped document per concept under ``concepts/``: the concept, then each of its localizations.
+
+    ``packed`` as in ``write_documents``: one struct of both.
+    """
+    have = lambda c: F.col(c) if c in concepts.columns else F.lit(None).alias(c)
+    data = F.struct(F.col("code").alias("identifier"), "domains", have("tags"), have("figures"), have("references"))
+    managed = F.struct(F.col("code").alias("id"), F.lit("3").alias("schema_version"), "status", data.alias("data"), "related")
+    each = F.transform("languages", lambda lang: F.struct(F.concat_ws("-", "code", lang).alias("id"), lang.alias("language_code"), F.element_at("localized", lang).alias("data")))
 
-    @F.udf(StringType(), useArrow=False)
-    def grouped(row):
-        one = row.asDict(recursive=True)
-        managed = {"id": one["code"], "schema_version": "3", "status": one["status"], "data": {"identifier": one["code"], "domains": one["domains"], "figures": one.get("figures"), "references": one.get("references")}, "related": one["related"]}
-        documents = [managed] + [{"id": f"{one['code']}-{lang}", "language_code": lang, "data": one["localized"][lang]} for lang in one["languages"]]
-        return "---\n".join(["", *[dump(compact(x)) for x in documents]])
+    @F.udf(StringType(), useArrow=True)
+    def grouped(concept, localized):
+        return "---\n".join(["", *[dump(compact(x.asDict(recursive=True))) for x in (concept, *localized)]])
 
-    whole = F.struct(*[F.col(c) for c in concepts.columns])
-    rows = concepts.select(F.concat(F.lit("concept-"), "code", F.lit(".yaml")).alias("name"), grouped(whole).alias("body"))
-    write_documents(rows, "name", "body", os.path.join(folder, "concepts"))
+    body = F.struct(managed.alias("concept"), each.alias("localized")) if packed else grouped(managed, each)
+    rows = concepts.select(F.concat(F.lit("concept-"), "code", F.lit(".yaml")).alias("name"), body.alias("body"))
+    write_documents(rows, "name", "body", os.path.join(folder, "concepts"), packed)
 
 
-def write_figures(figures: DataFrame, folder: str) -> None:
+def write_figures(figures: DataFrame, folder: str, packed: bool = False) -> None:
     rows = figures.select(F.concat("figure_id", F.lit(".yaml")).alias("name"), F.struct(*[F.col(c) for c in figures.columns]).alias("value"))
-    write_documents(rows, "name", "value", os.path.join(folder, "figures"))
+    write_documents(rows, "name", "value", os.path.join(folder, "figures"), packed)
 
 
 def write_list(rows: DataFrame, path: str, wrap: dict | None = None, key: str | None = None) -> int:
@@ -133,8 +148,8 @@ def write_register(register: DataFrame, path: str, **about) -> None:
 CHANGE_COLUMNS = ["code", "section", "field", "language", "detected_at", "old_value", "new_value"]
 
 
-def write_changes(changes: DataFrame, path: str, single_file: bool = True) -> None:
-    """Change rows as CSV: one file streamed in code order, or a folder written by the executors."""
+def write_changes(changes: DataFrame, path: str, single_file: bool = False) -> None:
+    """Change rows as CSV: a folder written by the executors, or on request one file streamed in code order."""
     from glossweave.operators.reconcile import change_csv
 
     rows = change_csv(changes).select(*CHANGE_COLUMNS)
@@ -148,7 +163,7 @@ def write_changes(changes: DataFrame, path: str, single_file: bool = True) -> No
             out.writerow(["" if x is None else x for x in row])
 
 
-def write_reports(reconciled: DataFrame, changes: DataFrame, folder: str) -> None:
+def write_reports(reconciled: DataFrame, changes: DataFrame, folder: str, single_file: bool = False) -> None:
     """``summary.yaml``, ``changes.csv``, ``retired.yaml`` and ``new.yaml``."""
     from glossweave.operators.reconcile import codes_of_origin, stats, summary
 
@@ -164,7 +179,7 @@ def write_reports(reconciled: DataFrame, changes: DataFrame, folder: str) -> Non
     sources = {k: numbers[k] for k in ("in_both", "termbase_only", "live_only") if numbers[k]}
     text = dump({"total_concepts": numbers["total"], "sources": sources, "changes": {"total": total, **{f"by_{k}": v for k, v in tallies.items()}}})
     Path(folder, "summary.yaml").write_text(text, encoding="utf-8")
-    write_changes(changes, os.path.join(folder, "changes.csv"))
+    write_changes(changes, os.path.join(folder, "changes.csv"), single_file)
     write_list(codes_of_origin(reconciled, "termbase_only"), os.path.join(folder, "retired.yaml"))
     write_list(codes_of_origin(reconciled, "live_only"), os.path.join(folder, "new.yaml"))
 

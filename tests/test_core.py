@@ -185,7 +185,8 @@ def test_export(spark):
     assert [r.id for r in made.bibliography.collect()] == ["iaea_4", "iec_62302_2007"]
     f = made.figures.first()
     assert (f.figure_id, f.identifier, f.caption) == ("fig-a", "Figure 1", {"eng": "W"})
-    assert made.stats.first()[:] == (1, 2)
+    assert made.stats.first().asDict() == {"concept_count": 5, "localized_count": 6, "figure_count": 1}  # with one area and three sections
+    assert c.tags == ["Functions", "General"] and {r.concept_id: [x.ref.id for x in r.related or [] if x.type == "narrower"] for r in made.hierarchy.collect()}["section-103-01"] == ["103-01-01"]
     shown = lookup.get(made.concepts, "103-01-01", "en", labels.language_dimension(spark))
     assert shown == "function" and lookup.get(made.concepts, "103-01-01", "xxx", labels.language_dimension(spark)) is None and lookup.get(made.concepts, "9", "en", labels.language_dimension(spark)) is None
     with pytest.raises(lookup.NotFound):
