@@ -517,20 +517,22 @@ def xref_lookup(spark, d):
     return lookup.name_bare_references(ex.references(rows, "definition"), english)
 
 
-def _marked_up(rows):
-    html = F.concat(F.lit("<b>"), F.col("ievref"), F.lit("</b> <i>x</i><sub>1</sub><sup>2</sup><br><span><p>"), F.col("definition"), F.lit("</span>"))
+def _marked_up(rows, definition):
+    html = F.concat(F.lit("<b>"), F.col("ievref"), F.lit("</b> <i>x</i><sub>1</sub><sup>2</sup><br><span><p>"), definition, F.lit("</span>"))
     return rows.select("export_id", adoc.markup_of(html, F.substring("ievref", 1, 3)).alias("markup"))
 
 
-@query(r"""SELECT export_id, '*' || ievref || '* stem:[x]~1~^2^' || chr(10) || replace(definition, chr(0), '') || chr(10) AS markup FROM iev_export WHERE definition IS NOT NULL AND NOT contains(definition, '<') AND NOT contains(definition, '&')""")
+@query(r"""SELECT export_id, '*' || ievref || '* stem:[x]~1~^2^' || chr(10) || replace(definition, chr(0), '') || chr(10) AS markup FROM iev_export""")
 def markup_convert(spark, d):
-    return _marked_up(table(spark, d, "iev_export").where("definition is not null and not contains(definition, '<') and not contains(definition, '&')"))
+    """All definitions as escaped text within markup: their characters come back as they were."""
+    escaped = F.replace(F.replace(F.replace("definition", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    return _marked_up(table(spark, d, "iev_export"), escaped)
 
 
 @query()
 def markup_convert_all(spark, d):
-    """All definitions, those with markup of their own too, which SQL can't convert."""
-    return _marked_up(table(spark, d, "iev_export").where("definition is not null"))
+    """All definitions with markup of their own, which SQL can't convert."""
+    return _marked_up(table(spark, d, "iev_export").where("definition is not null"), F.col("definition"))
 
 
 @query()

@@ -124,3 +124,46 @@ def test_equal_rows_and_ties_of_order(spark):
     got = {tuple(r) for r in first_wins(df, ["k"]).collect()}
     assert got == {("a", 1, "x", "z"), ("b", 7, "first", "u"), (None, 1, "m", None)}
     assert first_wins(df.limit(0), ["k"]).count() == 0
+
+
+def test_a_strict_export_stops(spark):
+    two = {"IEVREF": "103-01-01", "LANGUAGE": "en", "TERM": "a"}
+    assert exported(spark, two, strict=True).concepts.count() == 1
+    for bad, why in (("eng", "unknown language"), ("whatever", "unknown language"), ("xy", "unknown language")):
+        with pytest.raises(Exception, match=why):
+            exported(spark, two, {**two, "LANGUAGE": bad}, strict=True).concepts.collect()
+    with pytest.raises(Exception, match="no status"):
+        exported(spark, two, {**two, "LANGUAGE": "fr", "STATUS": None}, strict=True).bibliography.collect()
+    aside = exported(spark, two, *[{**two, "LANGUAGE": x} for x in ("eng", "qqq", "xy", "nl BE", None)])
+    assert {r.language for r in aside.quarantine.collect()} == {"qqq", "xy", None} and set(aside.concepts.first().languages) == {"eng", "nld"}
+
+
+def test_works_of_rows_set_aside_are_not_listed(spark):
+    made = exported(spark, {"IEVREF": "103-01-01", "LANGUAGE": "en", "TERM": "a", "SOURCE": "IAEA 4"}, {"IEVREF": "103-01-02", "LANGUAGE": "xy", "TERM": "b", "SOURCE": "ISO 9000"})
+    assert [r.id for r in made.bibliography.collect()] == ["iaea_4"]
+
+
+def test_documents_hold_tags_and_narrower_concepts(spark, tmp_path):
+    made = exported(spark, {"IEVREF": "103-01-02", "LANGUAGE": "en", "TERM": "a"}, {"IEVREF": "103-01-01", "LANGUAGE": "en", "TERM": "b", "SOURCE": "IAEA 4"})
+    files.write_concepts(made.concepts, str(tmp_path), packed=True)
+    body = json.loads(spark.read.parquet(str(tmp_path / "concepts")).where("name = 'concept-103-01-01.yaml'").first().body)
+    assert body["concept"]["data"]["tags"] == ["Functions", "General"] and body["localized"][0]["id"] == "103-01-01-eng"
+    assert body["localized"][0]["data"]["sources"][0]["origin"]["ref"] == {"source": "IAEA", "id": "4"}
+    section = made.hierarchy.where("kind = 'section'").first()
+    assert [(r.type, r.ref.id) for r in section.related] == [("broader", "area-103"), ("narrower", "103-01-01"), ("narrower", "103-01-02")]
+    assert [tuple(r) for r in made.section_children.orderBy("code").collect()] == [("103-01", "103-01-01"), ("103-01", "103-01-02")]
+    files.write_concepts(made.concepts, str(tmp_path / "each"))
+    assert "General" in (tmp_path / "each" / "concepts" / "concept-103-01-01.yaml").read_text()
+
+
+def test_termbase_side_has_designations_without_markers_and_earlier_dates(spark):
+    from glossweave.cli import termbase_side
+    from glossweave.operators.reconcile import reconcile
+
+    term = lambda d: {"type": "expression", "designation": d, "normative_status": None, "gender": None, "plurality": None, "usage_info": None}
+    row = {"_ord": 0, "code": "103-01-01", "language": "deu", "lang_no": 0, "terms": [term("Gleichheit, f"), term("Gleiche")], "entry_status": "Standard", "date_accepted": "2001-01-01", "date_amended": "2001-01-01"}
+    rows = spark.createDataFrame([row, {**row, "code": "103-01-02", "_ord": 1, "terms": [], "date_amended": "2002-02-02"}], snapshots.RECORD)
+    old = termbase_side(rows)
+    assert {r.code: r.designations for r in old.collect()} == {"103-01-01": ["Gleichheit", "Gleiche"], "103-01-02": []}
+    got = {r.code: [(d.type, d.date) for d in r.dates] for r in reconcile(old, old.where("code = '103-01-01'"), "2026-07-10", snapshots.concept_dates(rows)).collect()}
+    assert got == {"103-01-01": [("accepted", "2001-01-01")], "103-01-02": [("accepted", "2001-01-01"), ("amended", "2002-02-02"), ("retired", "2026-07-10")]}
