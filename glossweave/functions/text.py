@@ -25,7 +25,7 @@ def decode_entities(texts: pd.Series) -> pd.Series:
 
 def strip(c: Column) -> Column:
     """Without leading and trailing white space of any kind, NUL included."""
-    return F.regexp_replace(c, r"^[\s\x00]+|[\s\x00]+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r\x00"))
 
 
 def plain_spaces(c: Column) -> Column:
@@ -68,9 +68,9 @@ def comparable(c: Column, compose: bool = True) -> Column:
     c = F.coalesce(c, F.lit(""))
     c = nfc(c) if compose else c
     c = F.regexp_replace(c, "<[^>]+>", "")
-    c = F.regexp_replace(c, "[\\u00A0\\u200B\\uFEFF\\u00AD]", "")
-    c = F.translate(c, "″‴„‟‚‛", '"' * 6)
-    return F.lower(strip(F.regexp_replace(c, r"\s+", " ")))
+    # blanks, quotes and characters to drop in one go
+    c = F.translate(c, "\t\n\x0b\f\r″‴„‟‚‛\u00a0\u200b\ufeff\u00ad", " " * 5 + '"' * 6)
+    return F.lower(strip(F.regexp_replace(c, " {2,}", " ")))
 
 
 #: Names of the Greek letters that are written as entities.
