@@ -8,7 +8,7 @@ language) before they are collected.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from glossweave.functions.codes import area_code, complete_date, domain_referenc
 from glossweave.functions.labels import classification, designation_status, sheet_status, three_letter
 from glossweave.functions.text import decode_entities, sanitize, split_synonyms, without_leading_number
 from glossweave.markup.adoc import content_of, contents_of, formulas_of, markup_of, mentions, with_names
+from glossweave.operators.bibliography import bibliography
 from glossweave.operators.figures import figure_entities, figure_hits, figure_references, first_of, row_figures, with_mentions
 from glossweave.operators.hierarchy import domain_title, hierarchy_concepts, section_tree, with_titles
 from glossweave.operators.sheet import COLUMNS, filtered, first_wins
@@ -247,20 +248,64 @@ def with_references(rows: DataFrame) -> DataFrame:
     return found.withColumns({"definition": shown(F.col("definition")), "examples": F.transform("examples", shown), "notes": F.transform("notes", shown)})
 
 
-@dataclass
 class Exported:
-    """What an export makes; nothing is computed before it is written or read."""
+    """What an export makes; each table is planned when first asked for, and computed when written or read."""
 
-    localized: DataFrame
-    quarantine: DataFrame
-    concepts: DataFrame
-    hierarchy: DataFrame
-    figures: DataFrame
-    figure_references: DataFrame
-    section_children: DataFrame
-    bibliography: DataFrame
-    register: DataFrame
-    stats: DataFrame
+    def __init__(self, every: DataFrame, sections: DataFrame, include_areas: bool, links: DataFrame | None):
+        self._every, self._sections, self._include_areas, self._links = every, sections, include_areas, links
+
+    @cached_property
+    def _drawn(self) -> DataFrame:
+        return self._every.where("error is null")
+
+    @cached_property
+    def _hits(self) -> DataFrame:
+        return figure_hits(self._drawn)
+
+    @cached_property
+    def localized(self) -> DataFrame:
+        return with_references(self._drawn)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return self._every.where("error is not null")
+
+    @cached_property
+    def concepts(self) -> DataFrame:
+        return with_tags(concepts(self.localized.drop("error")), self._sections)
+
+    @cached_property
+    def section_children(self) -> DataFrame:
+        return section_children(self._drawn)
+
+    @cached_property
+    def _tree(self) -> DataFrame:
+        tree = hierarchy_concepts(self._sections)
+        return tree if self._include_areas else tree.where("false")
+
+    @cached_property
+    def hierarchy(self) -> DataFrame:
+        return with_narrower(self._tree, self.section_children)
+
+    @cached_property
+    def figures(self) -> DataFrame:
+        return figure_entities(self._hits)
+
+    @cached_property
+    def figure_references(self) -> DataFrame:
+        return figure_references(self._hits)
+
+    @cached_property
+    def bibliography(self) -> DataFrame:
+        return bibliography(source_rows(self._drawn), self._links)
+
+    @cached_property
+    def register(self) -> DataFrame:
+        return section_tree(self._sections)
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return counted(self.concepts, self._tree, self.figures)
 
 
 def export(
@@ -273,32 +318,12 @@ def export(
     three-letter languages and stops at the first such row instead.  ``links`` (``reference,
     link``) is an optional table for the bibliography.
     """
-    from glossweave.operators.bibliography import bibliography
-
     chosen = first_wins(filtered(sheet, only_concepts, only_languages), ["IEVREF", "LANGUAGE"])
     every = localized(chosen, sections, languages, link_names(chosen, sheet, languages), strict)
     if strict:
         stop = F.raise_error(F.concat(F.lit("row "), F.col("_ord").cast("string"), F.lit(", "), F.coalesce("code", F.lit("no code")), F.lit(": "), F.col("error")))
         every = every.withColumn("error", F.when(F.col("error").isNotNull(), stop.cast("string")))
-    drawn = every.where("error is null")
-    hits = figure_hits(drawn)
-    good = with_references(drawn)
-    nested = with_tags(concepts(good.drop("error")), sections)
-    children = section_children(good)
-    tree = hierarchy_concepts(sections) if include_areas else hierarchy_concepts(sections).where("false")
-    figures = figure_entities(hits)
-    return Exported(
-        localized=good,
-        quarantine=every.where("error is not null"),
-        concepts=nested,
-        hierarchy=with_narrower(tree, children),
-        figures=figures,
-        figure_references=figure_references(hits),
-        section_children=children,
-        bibliography=bibliography(source_rows(good), links),
-        register=section_tree(sections),
-        stats=counted(nested, tree, figures),
-    )
+    return Exported(every, sections, include_areas, links)
 
 
 def counted(nested: DataFrame, tree: DataFrame, figures: DataFrame) -> DataFrame:

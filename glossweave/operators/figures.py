@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossweave.operators.sheet import first_of as first_of_key
+
 #: How an image macro, and a caption in it, are written.
 FOLDER = "/assets/images/parts"
 MACRO = r"image::/assets/images/parts/([0-9]+)/([\w.\-]+)\[([^\]]*)\]"
@@ -53,32 +55,29 @@ def figure_hits(rows: DataFrame, fields=("definition", "examples", "notes")) ->
 def figure_entities(hits: DataFrame) -> DataFrame:
     """One row per figure: the first identifier (null if the first macro has none), the first caption per language, images distinct by source.
 
-    Two partial aggregations, (figure, language) and (figure, source), before the figure's own;
-    a figure that every row shows is reduced in each partition.
+    The first hits of each (figure, language) and (figure, source) are cut out before the
+    shuffle; a figure that every row shows is a few rows by then.
     """
-    at = F.struct("_ord", "_n")
+    at = [F.col("_ord").asc(), F.col("_n").asc()]
     captions = (
-        hits.where("caption is not null")
-        .groupBy("figure_id", "language")
-        .agg(F.min_by("caption", at).alias("caption"))
+        first_of_key(hits.where("caption is not null").select("figure_id", "language", "caption", "_ord", "_n"), ["figure_id", "language"], [*at, F.col("caption").asc()])
         .groupBy("figure_id")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("language", "caption")))).alias("caption"))
     )
+    image = F.struct("_ord", "_n", "src", "format", "identifier")
     images = (
-        hits.groupBy("figure_id", "src")
-        .agg(F.min(at).alias("_at"), F.min_by("format", at).alias("format"), F.min_by("identifier", at).alias("identifier"))
+        first_of_key(hits.select("figure_id", "src", "format", "identifier", "_ord", "_n"), ["figure_id", "src"], [*at, F.col("identifier").asc(), F.col("format").asc()])
         .groupBy("figure_id")
-        .agg(
-            F.min_by("identifier", "_at").alias("identifier"),
-            F.transform(F.array_sort(F.collect_list(F.struct("_at", "src", "format"))), lambda i: F.struct(i["src"].alias("src"), i["format"].alias("format"))).alias("images"),
-        )
+        .agg(F.array_sort(F.collect_list(image)).alias("_images"))
     )
-    return images.join(captions, "figure_id", "left").select("figure_id", "identifier", "caption", "images")
+    shown = F.transform("_images", lambda i: F.struct(i["src"].alias("src"), i["format"].alias("format"))).alias("images")
+    return images.join(captions, "figure_id", "left").select("figure_id", F.col("_images")[0]["identifier"].alias("identifier"), "caption", shown)
 
 
 def figure_references(hits: DataFrame) -> DataFrame:
     """``code, figure_id, display``: each figure once per concept, the first macro's identifier shown."""
-    return hits.groupBy("code", "figure_id").agg(F.min_by("identifier", F.struct("_ord", "_n")).alias("display"))
+    first = first_of_key(hits.select("code", "figure_id", "identifier", "_ord", "_n"), ["code", "figure_id"], [F.col(c).asc() for c in ("_ord", "_n", "identifier")])
+    return first.select("code", "figure_id", F.col("identifier").alias("display"))
 
 
 def row_figures(*fields: Column) -> Column:
