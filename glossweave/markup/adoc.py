@@ -26,6 +26,11 @@ FIGURES = [
     (re.compile(_FILE), "{0}[]"),
 ]
 
+#: What list items begin with.
+BULLETS = {"ol": ". ", "ul": "* "}
+#: Lists within lists whose items are written with those of the list around them.
+NESTED_LISTS = 2
+
 Lookup = Callable[[str], "str | None"]
 
 
@@ -34,6 +39,7 @@ class Writer:
 
     def __init__(self, area: str, term_of: Lookup | None = None):
         self.area, self.term_of = area, term_of or (lambda code: None)
+        self.lists = 0
         inner = lambda e, s: s
         self.rules: dict[str, Callable[[Element, str], str]] = {
             "a": self.link,
@@ -47,8 +53,6 @@ class Writer:
             "i": lambda e, s: italic(s),
             "sub": lambda e, s: s and f"~{s}~",
             "sup": lambda e, s: s and f"^{s}^",
-            "ol": lambda e, s: self.items(e, ". "),
-            "ul": lambda e, s: self.items(e, "* "),
             "font": lambda e, s: f"`{s}`" if "sans-serif" in e.attributes.get("style", "") else s,
         }
 
@@ -60,11 +64,18 @@ class Writer:
             return ""
         if isinstance(n, str):
             return n
+        if n.name in BULLETS:
+            return self.items(n, BULLETS[n.name])
         rule = self.rules.get(n.name)
         return rule(n, self.nodes(n.children)) if rule else serialise(n)
 
     def items(self, e: Element, bullet: str) -> str:
-        return "\n".join(bullet + self.nodes(li.children) for li in e.all("li"))
+        """A list's items, those of lists within it too; far down only its own, or each level would double the text."""
+        self.lists += 1
+        below = e.all("li") if self.lists <= NESTED_LISTS else [c for c in e.children if isinstance(c, Element) and c.name == "li"]
+        written = "\n".join(bullet + self.nodes(li.children) for li in below)
+        self.lists -= 1
+        return written
 
     def link(self, e: Element, inner: str) -> str:
         href = e.attributes.get("href", "").strip()

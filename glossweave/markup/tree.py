@@ -8,6 +8,7 @@ an element that never ends swallows the rest.
 from __future__ import annotations
 
 import html
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -67,11 +68,16 @@ def serialise(node) -> str:
     return f"<{start}>" if node.name in VOID else f"<{start}>{node.inner()}</{node.name}>"
 
 
+#: Elements nested deeper have what stands in them beside them, as browsers do from some depth on.
+DEEPEST = 100
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element("#root")
         self.open = [self.root]
+        self.beside: Counter = Counter()
 
     def handle_starttag(self, tag, attrs):
         ends, limits = IMPLIED_ENDS.get(tag, (frozenset(), frozenset()))
@@ -82,13 +88,20 @@ class _Builder(HTMLParser):
                 del self.open[i:]
         one = Element(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(one)
-        if tag not in VOID:
+        if tag in VOID:
+            return
+        if len(self.open) < DEEPEST:
             self.open.append(one)
+        else:
+            self.beside[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        if self.beside[tag]:
+            self.beside[tag] -= 1
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].name == tag:
                 del self.open[i:]

@@ -54,6 +54,8 @@ def parse(cell: str | None) -> Attributes:
     left = INLINE_TAGS.sub("", html.unescape(cell or ""))
     got: dict[str, str] = {}
     for name, pattern in FIELDS:
+        if name == "usage_info" and ">" not in left and "＞" not in left:
+            continue  # an opening bracket alone would be searched from again and again
         hit = pattern.search(left)
         if hit:
             got[name] = next(g for g in hit.groups() if g is not None)

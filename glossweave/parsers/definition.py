@@ -25,7 +25,7 @@ NOTE_WORDS = [
     r"Note\s+\d+\s[–-]\s*",
     r"Note&nbsp;\d+\s",
 ]
-MARKER = re.compile(rf"\s*(?:<p>\s*)?(?:(?P<example>{'|'.join(EXAMPLE_WORDS)})|(?P<note>{'|'.join(NOTE_WORDS)}))\s*", re.MULTILINE)
+MARKER = re.compile(rf"(?<!\s)\s*(?:<p>\s*)?(?:(?P<example>{'|'.join(EXAMPLE_WORDS)})|(?P<note>{'|'.join(NOTE_WORDS)}))\s*", re.MULTILINE)
 #: A note that begins with the word Example is about one; the mark keeps it from opening a list.
 SHIELDED = re.compile(r"^Ex([ae])mple", re.MULTILINE)
 

@@ -32,6 +32,8 @@ USAGE = re.compile(r"\(([^)]+)\)\s*(?=,?\s*(?:[fmnжмс]\b|[fmn]/[fmn]|sg|pl|ј
 
 #: Separators that taking a marker out leaves behind.
 SEPARATORS = ",; \t\n\r\f\v"
+#: Characters at a term's end that a marker with its comma and blanks can take; blanks are single by then.
+LONGEST_MARKER = 64
 _I = re.IGNORECASE
 #: Pattern at the end of a term, and the kind of marker in each of its groups, in order.
 PEEL = [
@@ -71,10 +73,11 @@ def parse(term: str | None) -> Marked:
     for name, char in BASIC_ENTITIES:
         text = text.replace(name, char)
     text = re.sub(r"\s+", " ", text.strip(), flags=re.ASCII).replace("　", " ")
-    while hit := CROSS_REFERENCE.search(text):
+    bracketed = ">" in text and "<" in text
+    while bracketed and "iev" in text.lower() and (hit := CROSS_REFERENCE.search(text)):
         out.related_refs = [*(out.related_refs or []), hit[1]]
         text = _lift(text, hit)
-    if hit := DOMAIN.search(text):
+    if bracketed and (hit := DOMAIN.search(text)):
         out.domain, text = hit[1].strip(), _lift(text, hit)
     if hit := USAGE.search(text):
         out.usage_info = hit[1].strip()
@@ -82,7 +85,7 @@ def parse(term: str | None) -> Marked:
     found: dict[str, list[str]] = {"gender": [], "number": [], "part_of_speech": [], "prefix": []}
     while text:
         for pattern, kinds in PEEL:
-            if hit := pattern.search(text):
+            if hit := pattern.search(text, max(0, len(text) - LONGEST_MARKER)):
                 for kind, word in zip(kinds, hit.groups()):
                     found[kind].append(word)
                 text = text[: hit.start()].strip()

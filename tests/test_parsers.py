@@ -181,3 +181,22 @@ def test_page():
     assert pages.parse_page(PAGE, "999-99-99") is None and pages.parse_page(None, "1") is None and pages.parse_page("", "1") is None
     assert pages.area_links('<a href="x?part=103"> A  b </a><a href="part=103">c</a><a href="part=9"> </a>') == [("103", "A b")]
     assert pages.section_cells("<td>Section 103-01: One</td><td>Section 103-01: Two</td><td>x</td>") == [("103-01", "One")]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["<b>" * 20_000 + "x", "<table><tr><td>" * 5_000 + "x", "<math>" + "<mrow>" * 5_000 + "x", "<" * 30_000, ", f" * 20_000, "\n" * 50_000, "<ul><li>" * 4_000, "(" * 20_000, "Note 1 to entry: " * 3_000, "a&" * 20_000],
+    ids=["bold", "tables", "formula", "open", "markers", "lines", "lists", "brackets", "notes", "ampersands"],
+)
+def test_very_long_and_deep_cells_are_read(text):
+    assert adoc.content(text, "103") is not None and markers.parse(text).designation is not None
+    assert attributes.parse(text) is not None and definition.split(text) is not None
+    assert parse(text).name == "#root"
+
+
+def test_end_tags_beyond_the_depth_close_nothing_above():
+    from glossweave.markup.tree import DEEPEST
+
+    deep = "<i>" + "<b>" * (2 * DEEPEST) + "x" + "</b>" * (2 * DEEPEST) + "y</i>z"
+    i, z = parse(deep).children
+    assert i.children[-1] == "y" and z == "z" and parse(deep).text == "xyz"
