@@ -405,7 +405,7 @@ def _in_blocks(slim: DataFrame, publications: DataFrame, known: tuple, wording:
     n_bytes = texts.agg(F.sum(F.octet_length("value_text"))).first()[0] or 0
     blocks, salts = -(-2 * n_entries // BLOCK_ENTRIES), n_bytes // TASK_BYTES + 1
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    # all editions of a work, and of a title, are in one block
+    # all editions of a work are in one block; works of one title may not be, their candidates meet afterwards
     work = F.pmod(F.xxhash64(F.coalesce("publisher", F.lit("")), F.coalesce("doc_number", "canonical")), F.lit(blocks)).cast("int")
     asked = texts.select("value_text", F.pmod(F.xxhash64("value_text"), F.lit(salts)).cast("int").alias("_salt"), numbers(blocks).alias("_block"))
     told = publications.select(*ENTRY, work.alias("_block"), numbers(salts).alias("_salt"))
